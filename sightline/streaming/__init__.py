@@ -1,0 +1,5 @@
+"""Intentionally empty: the work this library covers is batch only.
+
+There is no stream source, watermark or keyed state among the operators to
+rebuild, so nothing is offered here.
+"""
