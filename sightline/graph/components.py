@@ -36,11 +36,12 @@ def connected_components(
     edges = graph.edges.select("src", "dst").where(F.col("src") != F.col("dst"))
     links = Links(both_ways(edges).distinct(), min_heavy)
     states = cut(spread_by(graph.vertices.select("id", F.col("id").alias("component")), "id"))
+    size = states.count()
     for _ in range(max_iter):
         near = cut(_hooked(links, states, "component"))
         names = near.select(F.col("id").alias("component"), F.col("component").alias("next"))
         # Many vertices may carry one label: this join is skewed by nature.
-        far = lookup_join(near, names, "component", min_rows=min_heavy)
+        far = lookup_join(near, names, "component", min_rows=min_heavy, at_most=size)
         states = cut(far.select("id", F.col("next").alias("component"), "was"))
         if not states.where(F.col("component") != F.col("was")).take(1):
             return states.select("id", "component")
@@ -48,14 +49,14 @@ def connected_components(
     raise RuntimeError(f"components did not settle in {max_iter} rounds")
 
 
-def _trimmed(edges: DataFrame) -> DataFrame:
+def _trimmed(edges: DataFrame, min_heavy: int, size: int) -> DataFrame:
     """Edges whose source is also a target and whose target is also a source."""
     sources = edges.select(F.col("src").alias("id")).distinct()
     targets = edges.select(F.col("dst").alias("id")).distinct()
     on_cycles = cut(sources.join(targets, "id"))
     for end in ("src", "dst"):
         marks = on_cycles.select(F.col("id").alias(end), F.lit(True).alias("_in"))
-        edges = lookup_join(edges, marks, end).drop("_in")
+        edges = lookup_join(edges, marks, end, min_rows=min_heavy, at_most=size).drop("_in")
     return edges.select("src", "dst")
 
 
@@ -70,14 +71,15 @@ def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> Data
     """
     vertices = graph.vertices.select("id")
     edges = cut(graph.edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
+    size = edges.count()
     settled: DataFrame | None = None
     for _ in range(max_iter):
-        edges = cut(_trimmed(edges))
+        edges = cut(_trimmed(edges, min_heavy, size))
         if not edges.take(1):
             break
         active = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
         colours = cut(spread_by(active, "id").withColumn("colour", F.col("id")))
-        forward = Links(edges, min_heavy)
+        forward = Links(edges, min_heavy, is_cut=True)
         while True:
             moved = cut(_hooked(forward, colours, "colour"))
             colours = moved.select("id", "colour")
@@ -87,12 +89,14 @@ def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> Data
         inner = edges
         for end in ("src", "dst"):
             named = colours.select(F.col("id").alias(end), F.col("colour").alias(f"{end}_colour"))
-            inner = lookup_join(inner, named, end, min_rows=min_heavy)
+            inner = lookup_join(inner, named, end, min_rows=min_heavy, at_most=size)
         inner = cut(
             inner.where(F.col("src_colour") == F.col("dst_colour")).select("src", "dst")
         )
         backward = Links(
-            inner.select(F.col("dst").alias("src"), F.col("src").alias("dst")), min_heavy
+            inner.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
+            min_heavy,
+            is_cut=True,
         )
         roots = colours.where(F.col("id") == F.col("colour"))
         reached = frontier = cut(spread_by(roots, "id"))
@@ -105,7 +109,9 @@ def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> Data
         gone = reached.select("id")
         for end in ("src", "dst"):
             marks = gone.select(F.col("id").alias(end), F.lit(True).alias("_gone"))
-            inner = lookup_join(inner, marks, end, how="left", min_rows=min_heavy)
+            inner = lookup_join(
+                inner, marks, end, how="left", min_rows=min_heavy, at_most=size
+            )
             inner = inner.where(F.col("_gone").isNull()).drop("_gone")
         edges = cut(inner.select("src", "dst"))
     if settled is None:

@@ -46,7 +46,7 @@ def svd_plus_plus(
     norm ``column4``. The loss is the mean squared error.
     """
     edges = cut(graph.edges.select("src", "dst", F.col(rating).cast("double").alias("r")))
-    mean = edges.agg(F.avg("r")).first()[0]
+    mean, size = edges.agg(F.avg("r"), F.count("*")).first()
     if mean is None:
         raise ValueError("the graph has no rated edges")
 
@@ -66,6 +66,7 @@ def svd_plus_plus(
             targets.select(F.col("id").alias("dst"), "y"),
             "dst",
             min_rows=min_heavy,
+            at_most=size,
         )
         sums = implied.groupBy(F.col("src").alias("id")).agg(
             F.array(*[F.sum(F.col("y")[k]) for k in range(rank)]).alias("ys")
@@ -75,8 +76,8 @@ def svd_plus_plus(
             F.col("id").alias("src"), full.alias("p"), F.col("bias").alias("bu"), F.col("norm").alias("nu")
         )
         items = targets.select(F.col("id").alias("dst"), F.col("f").alias("q"), F.col("bias").alias("bi"))
-        rated = lookup_join(edges, users, "src", min_rows=min_heavy)
-        rated = lookup_join(rated, items, "dst", min_rows=min_heavy)
+        rated = lookup_join(edges, users, "src", min_rows=min_heavy, at_most=size)
+        rated = lookup_join(rated, items, "dst", min_rows=min_heavy, at_most=size)
         dot = F.aggregate(F.zip_with("p", "q", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
         guess = F.lit(mean) + F.col("bu") + F.col("bi") + dot
         guess = F.greatest(F.lit(minValue), F.least(F.lit(maxValue), guess))

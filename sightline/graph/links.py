@@ -38,10 +38,19 @@ class Links:
     number is bounded by ``heavy_keys``.
     """
 
-    def __init__(self, edges: DataFrame, min_rows: int = HEAVY_ROWS, keep: int = HEAVY_KEYS):
-        edges = cut(edges)
-        self.heavy = cut(heavy_keys(edges, "src", min_rows, keep))
-        self.has_heavy = bool(self.heavy.take(1))
+    def __init__(
+        self,
+        edges: DataFrame,
+        min_rows: int = HEAVY_ROWS,
+        keep: int = HEAVY_KEYS,
+        is_cut: bool = False,
+    ):
+        edges = edges if is_cut else cut(edges)
+        self.rows = edges.count()
+        self.has_heavy = False
+        if self.rows >= min_rows:
+            self.heavy = cut(heavy_keys(edges, "src", min_rows, keep))
+            self.has_heavy = bool(self.heavy.take(1))
         if self.has_heavy:
             mark = F.broadcast(self.heavy)
             self.hot = edges.join(mark, "src", "left_semi")

@@ -10,9 +10,11 @@ from sightline.operators.skew import HEAVY_ROWS, lookup_join
 from sightline.session import cut
 
 
-def _ending_in(edges: DataFrame, end: str, ids: DataFrame) -> DataFrame:
+def _ending_in(
+    edges: DataFrame, end: str, ids: DataFrame, min_heavy: int, size: int
+) -> DataFrame:
     marks = ids.select(F.col("id").alias(end), F.lit(True).alias("_in"))
-    return lookup_join(edges, marks, end).drop("_in")
+    return lookup_join(edges, marks, end, min_rows=min_heavy, at_most=size).drop("_in")
 
 
 def breadth_first_paths(
@@ -39,6 +41,7 @@ def breadth_first_paths(
     edges = graph.edges if edge_filter is None else graph.edges.where(edge_filter)
     edges = cut(edges.select("src", "dst", F.struct(*graph.edges.columns).alias("e")))
     links = Links(edges.select("src", "dst").distinct(), min_heavy)
+    size = edges.count()
     levels = [cut(sources.select("id").distinct())]
     visited = levels[0]
     hits = None
@@ -59,7 +62,8 @@ def breadth_first_paths(
     # From the hits back: keep the edges between neighbouring levels that lead to one.
     wanted, steps = hits, []
     for level in reversed(levels[:-1]):
-        step = cut(_ending_in(_ending_in(edges, "src", level), "dst", wanted))
+        step = _ending_in(edges, "src", level, min_heavy, size)
+        step = cut(_ending_in(step, "dst", wanted, min_heavy, size))
         steps.insert(0, step)
         wanted = step.select(F.col("src").alias("id")).distinct()
 
@@ -71,9 +75,11 @@ def breadth_first_paths(
             F.col("e").alias(f"e{i}"),
         )
         paths = leg if paths is None else paths.join(leg, f"_{names[i]}")
+    paths = cut(paths)
+    found = paths.count()
     for name in names:
         side = packed.select(F.col("id").alias(f"_{name}"), F.col("v").alias(name))
-        paths = lookup_join(paths, side, f"_{name}", min_rows=min_heavy)
+        paths = lookup_join(paths, side, f"_{name}", min_rows=min_heavy, at_most=found)
     order = [names[0]]
     for i, name in enumerate(names[1:]):
         order += [f"e{i}", name]

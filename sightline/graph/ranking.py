@@ -10,11 +10,13 @@ from sightline.operators.skew import HEAVY_ROWS, lookup_join
 from sightline.session import cut
 
 
-def weighted_edges(edges: DataFrame) -> DataFrame:
+def weighted_edges(edges: DataFrame, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     """Edges with ``weight`` set to one over the out-degree of their source."""
-    shares = edges.groupBy("src").agg((F.lit(1.0) / F.count("*")).alias("weight"))
     others = [c for c in edges.columns if c != "weight"]
-    return lookup_join(edges.select(*others), shares, "src").select(*others, "weight")
+    edges = cut(edges.select(*others))
+    shares = edges.groupBy("src").agg((F.lit(1.0) / F.count("*")).alias("weight"))
+    joined = lookup_join(edges, shares, "src", min_rows=min_heavy, at_most=edges.count())
+    return cut(joined.select(*others, "weight"))
 
 
 def page_rank(
@@ -34,8 +36,8 @@ def page_rank(
 
     if (max_iter is None) == (tol is None):
         raise ValueError("set exactly one of maxIter and tol")
-    weighted = weighted_edges(graph.edges)
-    links = Links(weighted.select("src", "dst", "weight"), min_heavy)
+    weighted = weighted_edges(graph.edges, min_heavy)
+    links = Links(weighted.select("src", "dst", "weight"), min_heavy, is_cut=True)
     if source is None:
         base = F.lit(1.0)
     else:

@@ -19,12 +19,13 @@ def triangle_counts(graph, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     """
     a, b = F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
     pairs = cut(graph.edges.where(F.col("src") != F.col("dst")).select(a, b).distinct())
+    size = pairs.count()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     degrees = cut(ends.groupBy("id").agg(F.count("*").alias("d")))
     ranked = pairs
     for end in ("a", "b"):
         side = degrees.select(F.col("id").alias(end), F.col("d").alias(f"d{end}"))
-        ranked = lookup_join(ranked, side, end, min_rows=min_heavy)
+        ranked = lookup_join(ranked, side, end, min_rows=min_heavy, at_most=size)
     a_first = F.struct(F.col("da"), F.col("a")) < F.struct(F.col("db"), F.col("b"))
     oriented = cut(
         ranked.select(
@@ -34,7 +35,9 @@ def triangle_counts(graph, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     )
     lists = cut(oriented.groupBy("u").agg(F.collect_list("v").alias("next")))
     ends_of_v = lists.select(F.col("u").alias("v"), F.col("next").alias("beyond"))
-    wings = lookup_join(oriented.join(lists, "u"), ends_of_v, "v", min_rows=min_heavy)
+    wings = lookup_join(
+        oriented.join(lists, "u"), ends_of_v, "v", min_rows=min_heavy, at_most=size
+    )
     common = F.array_intersect("next", "beyond")
     closed = wings.select("u", "v", common.alias("w")).where(F.size("w") > 0)
     n = F.size("w").cast("long")

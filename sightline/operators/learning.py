@@ -34,6 +34,8 @@ FOLDS = 10
 SEED = 90
 SVM_ITERATIONS = 250
 
+ROWS_PER_TASK = 50_000
+
 # Columns of the enriched sightings the first family of models uses.
 DISTINCT_COLUMNS = [
     "data",
@@ -197,7 +199,7 @@ def cross_validate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    return search.fit(with_folds(vectors, folds))
+    return search.fit(vectors if "fold" in vectors.columns else with_folds(vectors, folds))
 
 
 def importances(model, names: list[str] | None = None) -> list[tuple[str, float]]:
@@ -216,6 +218,17 @@ def feature_names(vectors: DataFrame) -> list[str] | None:
     return [a.get("name", str(a["idx"])) for a in sorted(named, key=lambda a: a["idx"])] or None
 
 
+def held(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cached vectors, and a view of them with no more tasks than the rows warrant.
+
+    Training runs a job per step over the same rows. On few rows the start of
+    tasks would be most of the time; on many the partitions stay as they are.
+    """
+    cached = vectors.persist()
+    width = max(1, -(-cached.count() // ROWS_PER_TASK))
+    return cached, cached.coalesce(width)
+
+
 def train_and_report(
     vectors: DataFrame, learner: Learner, folds: int = FOLDS, parallelism: int = 4
 ) -> DataFrame:
@@ -224,7 +237,7 @@ def train_and_report(
     ``held_out`` is the mean over the folds of the chosen setting, ``training``
     the measure on the rows the final model was fitted on.
     """
-    vectors = vectors.persist()
+    cached, vectors = held(with_folds(vectors, folds))
     try:
         found = cross_validate(vectors, learner, folds, parallelism)
         judge = evaluator(learner.measure)
@@ -241,7 +254,7 @@ def train_and_report(
             ]
         return _metrics(vectors.sparkSession, rows)
     finally:
-        vectors.unpersist()
+        cached.unpersist()
 
 
 def _svm() -> LinearSVC:
@@ -253,7 +266,9 @@ def train_svm(vectors: DataFrame, balanced: bool = False) -> tuple[LinearSVCMode
     train, test = hash_split(vectors, ["ip"])
     if balanced:
         train = hash_balance(train, ["ip"])
+    cached, train = held(train)
     model = _svm().fit(train)
+    cached.unpersist()
     return model, confusion(model.transform(test))
 
 
@@ -274,6 +289,7 @@ def fit_logistic_formula(
     frame: DataFrame, formula: str, folds: int = FOLDS
 ) -> tuple[PipelineModel, DataFrame]:
     """Binomial regression from a formula: AIC, k-fold cost and R squared of the fit."""
+    cached, frame = held(frame)
     glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label")
     flow = Pipeline(stages=[RFormula(formula=formula), glm])
     cost = RegressionEvaluator(labelCol="label", metricName="mse")
@@ -291,4 +307,5 @@ def fit_logistic_formula(
         ("cv_cost", search.avgMetrics[0]),
         ("r2", r2),
     ]
+    cached.unpersist()
     return model, _metrics(frame.sparkSession, rows)

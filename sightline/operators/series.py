@@ -114,13 +114,10 @@ def describe(series: DataFrame, value: str) -> DataFrame:
     one task is the distinct values. For counts that sum to N there are at
     most about sqrt(2N) of those.
     """
-    counted = series.groupBy(F.col(value).cast("double").alias("x")).agg(
-        F.count("x").alias("w")
-    )
-    counted = counted.where(F.col("x").isNotNull())
+    present = series.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    counted = present.groupBy("x").agg(F.count("*").alias("w"))
     n = F.sum("w")
     mean = F.sum(F.col("x") * F.col("w")) / n
-    # Shifted by a typical value, so the squares do not swamp the spread.
     quartiles = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("w"))
     shape = counted.agg(
         n.alias("count"),
@@ -129,7 +126,7 @@ def describe(series: DataFrame, value: str) -> DataFrame:
         quartiles.alias("q"),
         F.max("x").alias("max"),
     )
-    spread = series.agg(F.stddev_samp(value).alias("std"))
+    spread = present.agg(F.stddev_samp("x").alias("std"))
     return shape.select(
         "count",
         "mean",

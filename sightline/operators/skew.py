@@ -35,6 +35,7 @@ def lookup_join(
     how: str = "inner",
     min_rows: int = HEAVY_ROWS,
     keep: int = HEAVY_KEYS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per ``key``.
 
@@ -42,10 +43,13 @@ def lookup_join(
     rows. They then pass the shuffle under a spread second key that matches
     nothing, so no task receives a heavy key whole. All other rows are joined
     by the shuffle as usual. ``left`` is read once more, key column only, to
-    count.
+    count. Where ``left`` is known to have ``at_most`` so many rows, and those
+    are too few to make any key heavy, this is a plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join does inner and left joins")
+    if at_most is not None and at_most < min_rows:
+        return left.join(right, key, how)
     values = [c for c in right.columns if c != key]
     packed = right.select(key, F.struct(*values, F.lit(True).alias("_found")).alias("_cold"))
     heavy = heavy_keys(left, key, min_rows, keep)

@@ -485,7 +485,7 @@ GROUP BY a.item, b.item""",
 ITEMS = f"items AS MATERIALIZED ({items(THREAT_V1)})"
 # An itemset of a four-column basket is a cell of the cube over its columns.
 SETS = """sets AS MATERIALIZED (
-  SELECT list_sort(list_filter([sector, size, count, score], x -> x IS NOT NULL)) AS items, n
+  SELECT list_sort(list_filter([sector, size, count, score], lambda x: x IS NOT NULL)) AS items, n
   FROM (SELECT sector, size, count, score, count(*) AS n FROM items
         GROUP BY CUBE (sector, size, count, score))
   WHERE coalesce(sector, size, count, score) IS NOT NULL)"""
@@ -501,12 +501,12 @@ on_sightings("itemsets_sightings", "SELECT array_to_string(items, '|') AS items,
 
 def rules_cte(support: float, confidence: float) -> str:
     return f"""rules AS MATERIALIZED (
-  SELECT array_to_string(list_filter(s.items, x -> x <> c), '|') AS antecedent, c AS consequent,
+  SELECT array_to_string(list_filter(s.items, lambda x: x <> c), '|') AS antecedent, c AS consequent,
          s.n / t AS support, s.n / a.n AS confidence, (s.n / a.n) / (r.n / t) AS lift,
          len(s.items) AS length
   FROM (SELECT *, unnest(items) AS c FROM sets) s
   JOIN (SELECT count(*) AS t FROM items) ON s.n >= ceil({support!r} * t)
-  JOIN sets a ON array_to_string(a.items, '|') = array_to_string(list_filter(s.items, x -> x <> c), '|')
+  JOIN sets a ON array_to_string(a.items, '|') = array_to_string(list_filter(s.items, lambda x: x <> c), '|')
   JOIN sets r ON len(r.items) = 1 AND r.items[1] = c
   WHERE len(s.items) >= 2 AND s.n / a.n >= {confidence})"""
 

@@ -632,13 +632,12 @@ for _name, _learner in learning.LEARNERS.items():
 
 @query
 def svm_train(spark, folder):
-    return learning.train_svm(learning.svm_vectors(_wide(spark, folder)).persist())[1]
+    return learning.train_svm(learning.svm_vectors(_wide(spark, folder)))[1]
 
 
 @query
 def svm_balanced(spark, folder):
-    vectors = learning.svm_vectors(_wide(spark, folder)).persist()
-    return learning.train_svm(vectors, balanced=True)[1]
+    return learning.train_svm(learning.svm_vectors(_wide(spark, folder)), balanced=True)[1]
 
 
 @query
@@ -650,7 +649,7 @@ def svm_score_neutral(spark, folder):
     def features(name: str) -> DataFrame:
         return profile.ip_features_wide(cohorts.cohort(sightings, name), customers)
 
-    model, _ = learning.train_svm(learning.svm_vectors(features("no5s")).persist())
+    model, _ = learning.train_svm(learning.svm_vectors(features("no5s")))
     return learning.score_cohort(model, learning.svm_scoring_vectors(features("only5s")))
 
 
@@ -660,4 +659,4 @@ def glm_logistic(spark, folder):
         scoring.binary_label("lastScore").alias("target"), "trueCount", "totalCustomersHit", "trendUp"
     )
     formula = "target ~ trueCount + totalCustomersHit + trendUp"
-    return learning.fit_logistic_formula(profiles.na.drop().persist(), formula)[1]
+    return learning.fit_logistic_formula(profiles.na.drop(), formula)[1]
