@@ -64,7 +64,7 @@ def range_lookup(
     lowest stop, is taken. ``key`` identifies a point.
     """
     filed = ranges.where(F.col("start") <= F.col("stop")).select(
-        F.inline(_range_buckets()), "start", "stop", *values
+        F.inline(_range_buckets()), "start", "stop", F.struct(*values).alias("_values")
     )
     probes = points.select(
         key, number, F.inline(_point_buckets(F.col(number), F.col(key)))
@@ -72,11 +72,11 @@ def range_lookup(
     within = (F.col(number) >= F.col("start")) & (F.col(number) <= F.col("stop"))
     same = (probes["w"] == filed["w"]) & (probes["b"] == filed["b"])
     joined = probes.join(filed, same & within, "left")
-    hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop", *values))
+    hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop", "_values"))
     return (
         joined.groupBy(key)
-        .agg(F.min(hit).alias("hit"))
-        .select(key, *[F.col("hit")[v].alias(v) for v in values])
+        .agg(F.min(hit)["_values"].alias("_values"))
+        .select(key, *[F.col("_values")[v].alias(v) for v in values])
     )
 
 
