@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.graph.links import Links, both_ways, spread_by
+from sightline.graph.links import Links, both_ways
 from sightline.operators.skew import HEAVY_ROWS, lookup_join
 from sightline.session import cut
 
@@ -35,7 +35,7 @@ def connected_components(
     """
     edges = graph.edges.select("src", "dst").where(F.col("src") != F.col("dst"))
     links = Links(both_ways(edges).distinct(), min_heavy)
-    states = cut(spread_by(graph.vertices.select("id", F.col("id").alias("component")), "id"))
+    states = cut(graph.vertices.select("id", F.col("id").alias("component")))
     size = states.count()
     for _ in range(max_iter):
         near = cut(_hooked(links, states, "component"))
@@ -44,6 +44,7 @@ def connected_components(
         far = lookup_join(near, names, "component", min_rows=min_heavy, at_most=size)
         states = cut(far.select("id", F.col("next").alias("component"), "was"))
         if not states.where(F.col("component") != F.col("was")).take(1):
+            links.close()
             return states.select("id", "component")
         states = states.select("id", "component")
     raise RuntimeError(f"components did not settle in {max_iter} rounds")
@@ -54,10 +55,13 @@ def _trimmed(edges: DataFrame, min_heavy: int, size: int) -> DataFrame:
     sources = edges.select(F.col("src").alias("id")).distinct()
     targets = edges.select(F.col("dst").alias("id")).distinct()
     on_cycles = cut(sources.join(targets, "id"))
+    kept = edges
     for end in ("src", "dst"):
         marks = on_cycles.select(F.col("id").alias(end), F.lit(True).alias("_in"))
-        edges = lookup_join(edges, marks, end, min_rows=min_heavy, at_most=size).drop("_in")
-    return edges.select("src", "dst")
+        kept = lookup_join(
+            kept, marks, end, min_rows=min_heavy, at_most=size, counted=edges
+        ).drop("_in")
+    return kept.select("src", "dst")
 
 
 def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> DataFrame:
@@ -78,18 +82,21 @@ def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> Data
         if not edges.take(1):
             break
         active = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        colours = cut(spread_by(active, "id").withColumn("colour", F.col("id")))
+        colours = cut(active.withColumn("colour", F.col("id")))
         forward = Links(edges, min_heavy, is_cut=True)
         while True:
             moved = cut(_hooked(forward, colours, "colour"))
             colours = moved.select("id", "colour")
             if not moved.where(F.col("colour") != F.col("was")).take(1):
                 break
+        forward.close()
         # Only edges inside one colour can lie on a cycle.
         inner = edges
         for end in ("src", "dst"):
             named = colours.select(F.col("id").alias(end), F.col("colour").alias(f"{end}_colour"))
-            inner = lookup_join(inner, named, end, min_rows=min_heavy, at_most=size)
+            inner = lookup_join(
+                inner, named, end, min_rows=min_heavy, at_most=size, counted=edges
+            )
         inner = cut(
             inner.where(F.col("src_colour") == F.col("dst_colour")).select("src", "dst")
         )
@@ -99,21 +106,23 @@ def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> Data
             is_cut=True,
         )
         roots = colours.where(F.col("id") == F.col("colour"))
-        reached = frontier = cut(spread_by(roots, "id"))
+        reached = frontier = cut(roots)
         while frontier.take(1):
             step = backward.meet(frontier).select(F.col("dst").alias("id"), "colour").distinct()
             frontier = cut(step.join(reached.select("id"), "id", "left_anti"))
             reached = cut(reached.unionByName(frontier))
+        backward.close()
         found = reached.select("id", F.col("colour").alias("component"))
         settled = found if settled is None else cut(settled.unionByName(found))
         gone = reached.select("id")
+        rest = inner
         for end in ("src", "dst"):
             marks = gone.select(F.col("id").alias(end), F.lit(True).alias("_gone"))
-            inner = lookup_join(
-                inner, marks, end, how="left", min_rows=min_heavy, at_most=size
+            rest = lookup_join(
+                rest, marks, end, how="left", min_rows=min_heavy, at_most=size, counted=inner
             )
-            inner = inner.where(F.col("_gone").isNull()).drop("_gone")
-        edges = cut(inner.select("src", "dst"))
+            rest = rest.where(F.col("_gone").isNull()).drop("_gone")
+        edges = cut(rest.select("src", "dst"))
     if settled is None:
         return vertices.select("id", F.col("id").alias("component"))
     joined = vertices.join(settled, "id", "left")

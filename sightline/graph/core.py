@@ -65,9 +65,10 @@ class Graph:
         edges = self.edges.select(
             F.col("src").alias("_s"), F.col("dst").alias("_d"), F.struct("*").alias("edge")
         )
+        plain = edges
         for end, name in (("_s", "src"), ("_d", "dst")):
             side = packed.select(F.col("id").alias(end), F.col("v").alias(name))
-            edges = lookup_join(edges, side, end)
+            edges = lookup_join(edges, side, end, counted=plain)
         return edges.select("src", "edge", "dst")
 
     def find(self, pattern: str) -> DataFrame:

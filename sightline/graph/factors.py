@@ -77,7 +77,9 @@ def svd_plus_plus(
         )
         items = targets.select(F.col("id").alias("dst"), F.col("f").alias("q"), F.col("bias").alias("bi"))
         rated = lookup_join(edges, users, "src", min_rows=min_heavy, at_most=size)
-        rated = lookup_join(rated, items, "dst", min_rows=min_heavy, at_most=size)
+        rated = lookup_join(
+            rated, items, "dst", min_rows=min_heavy, at_most=size, counted=edges
+        )
         dot = F.aggregate(F.zip_with("p", "q", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
         guess = F.lit(mean) + F.col("bu") + F.col("bi") + dot
         guess = F.greatest(F.lit(minValue), F.least(F.lit(maxValue), guess))

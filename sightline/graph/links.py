@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,12 @@ class Links:
             mark = F.broadcast(self.heavy)
             self.hot = edges.join(mark, "src", "left_semi")
             edges = edges.join(mark, "src", "left_anti")
-        self.cold = cut(spread_by(edges, "src"))
+        # Cached, not only written: a cached table keeps its partitioning, so the
+        # edges are not shuffled again. A lost part is rebuilt from the written edges.
+        self.cold = spread_by(edges, "src").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def close(self) -> None:
+        self.cold.unpersist()
 
     def meet(self, states: DataFrame) -> DataFrame:
         """Edges joined to the states of their sources; ``states`` has ``id``."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.skew import lookup_join
+from sightline.session import cut
 
 _EDGE = re.compile(r"^(!?)\((\w*)\)-\[(\w*)\]->\((\w*)\)$")
 _VERTEX = re.compile(r"^\((\w+)\)$")
@@ -98,11 +99,14 @@ def find(graph, pattern: str) -> DataFrame:
         barred = graph.edges.select(*[F.col(c).alias(f"id:{n}") for c, n in ends]).distinct()
         rows = rows.join(barred, [f"id:{n}" for _, n in ends], "left_anti")
 
+    # Every vertex name is one more join over these rows: work them out once.
+    rows = cut(rows)
+    found, plain = rows.count(), rows
     for name in names:
         if name in edge_names:
             continue
         if name not in bound:
             raise ValueError(f"vertex {name!r} shares no edge with the rest of the motif")
         side = packed.select(F.col("id").alias(f"id:{name}"), F.col("v").alias(name))
-        rows = lookup_join(rows, side, f"id:{name}")
+        rows = lookup_join(rows, side, f"id:{name}", at_most=found, counted=plain)
     return rows.select(*names)

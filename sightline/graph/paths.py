@@ -56,6 +56,7 @@ def breadth_first_paths(
             hits = reached
             break
         visited = cut(visited.unionByName(frontier))
+    links.close()
     if hits is None:
         return at_once
 
@@ -76,10 +77,12 @@ def breadth_first_paths(
         )
         paths = leg if paths is None else paths.join(leg, f"_{names[i]}")
     paths = cut(paths)
-    found = paths.count()
+    found, plain = paths.count(), paths
     for name in names:
         side = packed.select(F.col("id").alias(f"_{name}"), F.col("v").alias(name))
-        paths = lookup_join(paths, side, f"_{name}", min_rows=min_heavy, at_most=found)
+        paths = lookup_join(
+            paths, side, f"_{name}", min_rows=min_heavy, at_most=found, counted=plain
+        )
     order = [names[0]]
     for i, name in enumerate(names[1:]):
         order += [f"e{i}", name]
@@ -100,4 +103,5 @@ def landmark_distances(graph, landmarks: list, min_heavy: int = HEAVY_ROWS) -> D
         seen = known.select("id", "landmark")
         frontier = cut(step.join(seen, ["id", "landmark"], "left_anti"))
         known = cut(known.unionByName(frontier))
+    links.close()
     return known

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.graph.links import Links, both_ways, spread_by
+from sightline.graph.links import Links, both_ways
 from sightline.operators.skew import HEAVY_ROWS, lookup_join
 from sightline.session import cut
 
@@ -42,7 +42,7 @@ def page_rank(
         base = F.lit(1.0)
     else:
         base = F.when(F.col("id") == F.lit(source), 1.0).otherwise(0.0)
-    ranks = cut(spread_by(graph.vertices.select("id", base.alias("rank")), "id"))
+    ranks = cut(graph.vertices.select("id", base.alias("rank")))
 
     done = 0
     while True:
@@ -74,6 +74,7 @@ def page_rank(
             if moved is None or moved <= tol:
                 break
         ranks = ranks.drop("before")
+    links.close()
     result = graph.vertices.join(ranks.select("id", F.col("rank").alias("pagerank")), "id")
     return Graph(result, weighted)
 
@@ -85,7 +86,7 @@ def propagate_labels(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> DataF
     vertex without edges keeps its own id.
     """
     links = Links(both_ways(graph.edges), min_heavy)
-    labels = cut(spread_by(graph.vertices.select("id", F.col("id").alias("label")), "id"))
+    labels = cut(graph.vertices.select("id", F.col("id").alias("label")))
     for _ in range(max_iter):
         sent = links.meet(labels).groupBy(F.col("dst").alias("id"), "label").agg(
             (-F.count("*")).alias("rank")
@@ -93,4 +94,5 @@ def propagate_labels(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> DataF
         own = labels.select("id", "label", F.lit(0).cast("long").alias("rank"))
         best = F.min(F.struct("rank", "label"))["label"]
         labels = cut(sent.unionByName(own).groupBy("id").agg(best.alias("label")))
+    links.close()
     return labels

@@ -25,7 +25,9 @@ def triangle_counts(graph, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     ranked = pairs
     for end in ("a", "b"):
         side = degrees.select(F.col("id").alias(end), F.col("d").alias(f"d{end}"))
-        ranked = lookup_join(ranked, side, end, min_rows=min_heavy, at_most=size)
+        ranked = lookup_join(
+            ranked, side, end, min_rows=min_heavy, at_most=size, counted=pairs
+        )
     a_first = F.struct(F.col("da"), F.col("a")) < F.struct(F.col("db"), F.col("b"))
     oriented = cut(
         ranked.select(
@@ -36,7 +38,8 @@ def triangle_counts(graph, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     lists = cut(oriented.groupBy("u").agg(F.collect_list("v").alias("next")))
     ends_of_v = lists.select(F.col("u").alias("v"), F.col("next").alias("beyond"))
     wings = lookup_join(
-        oriented.join(lists, "u"), ends_of_v, "v", min_rows=min_heavy, at_most=size
+        oriented.join(lists, "u"), ends_of_v, "v", min_rows=min_heavy, at_most=size,
+        counted=oriented,
     )
     common = F.array_intersect("next", "beyond")
     closed = wings.select("u", "v", common.alias("w")).where(F.size("w") > 0)

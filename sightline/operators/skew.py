@@ -36,6 +36,7 @@ def lookup_join(
     min_rows: int = HEAVY_ROWS,
     keep: int = HEAVY_KEYS,
     at_most: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per ``key``.
 
@@ -45,6 +46,9 @@ def lookup_join(
     by the shuffle as usual. ``left`` is read once more, key column only, to
     count. Where ``left`` is known to have ``at_most`` so many rows, and those
     are too few to make any key heavy, this is a plain join.
+
+    ``counted`` is a cheaper table with the same keys as ``left``. Several of
+    these joins in a row should count the keys on the table they started from.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join does inner and left joins")
@@ -52,7 +56,7 @@ def lookup_join(
         return left.join(right, key, how)
     values = [c for c in right.columns if c != key]
     packed = right.select(key, F.struct(*values, F.lit(True).alias("_found")).alias("_cold"))
-    heavy = heavy_keys(left, key, min_rows, keep)
+    heavy = heavy_keys(left if counted is None else counted, key, min_rows, keep)
     # At most `keep` rows: the broadcast is bounded by construction.
     served = packed.join(F.broadcast(heavy), key, "left_semi").withColumnRenamed("_cold", "_hot")
     tagged = left.join(F.broadcast(served), key, "left")

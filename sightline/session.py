@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """Materialise ``frame`` reliably and drop its lineage.
+    """Write ``frame`` as a table in the checkpoint folder and read it back.
 
-    The data goes to the shared checkpoint folder, so the loss of an executor
-    never sends a loop back to its first round. The partitioning is kept.
+    The loss of an executor then never sends a loop back to its first round.
+    A table is used rather than an RDD checkpoint because that one keeps the
+    size estimate of the plan it replaces: in a loop of joins the estimates
+    multiply until planning itself does not end. A table has its true size,
+    which is also what the choice of broadcast joins should go by.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    spark = frame.sparkSession
+    application = spark.sparkContext.applicationId
+    path = f"{ensure_checkpoint_dir(spark)}/sightline-{application}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
