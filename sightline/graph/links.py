@@ -59,6 +59,8 @@ class Links:
         # Cached, not only written: a cached table keeps its partitioning, so the
         # edges are not shuffled again. A lost part is rebuilt from the written edges.
         self.cold = spread_by(edges, "src").persist(StorageLevel.MEMORY_AND_DISK)
+        # Filled here: the planner knows the partitioning only of a cache that is filled.
+        self.cold.count()
 
     def close(self) -> None:
         self.cold.unpersist()
