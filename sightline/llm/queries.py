@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sightline.llm import oracle, quality_rules
+from sightline.llm import oracle, packing, quality_rules, sharding
 from sightline.llm.common import table
 from sightline.session import configure
 
@@ -28,3 +29,22 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op3_quality_rules"] = oracle.QUALITY
+
+
+@query
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
