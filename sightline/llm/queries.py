@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import oracle, packing, quality_rules, sharding, toxicity
+from sightline.llm import jaccard_join, oracle, packing, quality_rules, sharding, toxicity
 from sightline.llm.common import table
 from sightline.session import configure
 
@@ -53,3 +53,8 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link(table(spark, folder, "documents"))
