@@ -85,3 +85,20 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     for j in range(1, n):
         run = pair(run, found[j : len(found) - n + 1 + j])
     return np.unique(run)
+
+
+class Spans:
+    """Hashes of any stretches of one text, from prefix sums over powers of a fixed base."""
+
+    def __init__(self, data: np.ndarray):
+        self.powers, self.inverses = _power_tables(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLE[data] * self.powers[: len(data)], dtype=np.uint64, out=self.sums[1:])
+
+    def every(self, n: int) -> np.ndarray:
+        """Hash of the ``n`` bytes from every position."""
+        count = max(0, len(self.sums) - n)
+        return mix((self.sums[n : n + count] - self.sums[:count]) * self.inverses[:count])
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))

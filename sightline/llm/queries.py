@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import jaccard_join, oracle, packing, quality_rules, sharding, toxicity
+from sightline.llm import jaccard_join, oracle, packing, quality_rules, sharding, suffix_dedup, toxicity
 from sightline.llm.common import table
 from sightline.session import configure
 
@@ -58,3 +58,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.link(table(spark, folder, "documents"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, folder, "documents"))
