@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import jaccard_join, oracle, packing, quality_rules, sharding, suffix_dedup, toxicity
+from sightline.llm import (
+    jaccard_join,
+    multi_index,
+    oracle,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    word_table,
+)
 from sightline.llm.common import table
 from sightline.session import configure
 
@@ -63,3 +74,25 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove(table(spark, folder, "documents"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op6_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    coded = word_table.coded(table(spark, folder, "documents"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_text", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return multi_index.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
