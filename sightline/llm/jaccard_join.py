@@ -36,6 +36,8 @@ BUCKET_SIGNATURES = 2_000_000
 ENUMERATED = 5
 # Share of parts that a larger set may set aside.
 SPARE = 0.22
+# Buckets of a sketch, one byte each.
+SKETCH = 128
 _ONE = np.ones(1, np.uint64)
 
 
@@ -201,20 +203,54 @@ def _groups(table: pa.Table) -> pa.Table:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
-    """key and elements of the wanted sets, read off one document each."""
+    """key, n, sketch and elements of the wanted sets, read off one document each.
+
+    The sketch counts elements by bucket. Two sets differ in at least as many
+    elements as their sketches do, so it rules out a pair without its elements.
+    """
     one = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     chosen = docs.join(one, "doc_id").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [shingles(t.as_py(), WORDS).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(data, pa.binary())], ["key", "elements"])
+            sets = [shingles(t.as_py(), WORDS) for t in batch.column("text")]
+            counts = [np.bincount((s >> U(20)).astype(np.int64) % SKETCH, minlength=SKETCH) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in counts], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["key", "n", "sketch", "elements"],
+            )
+
+    return chosen.mapInArrow(run, "key long, n long, sketch binary, elements binary").dropDuplicates(["key"])
+
+
+def _possible(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out."""
+    left = contents.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = contents.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    met = pairs.join(left, "a").join(right, "b")
+    met = met.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT).select("a", "b", "na", "nb", "sa", "sb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+                for c in ("sa", "sb")
+            )
+            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            keep = np.abs(a - b).sum(axis=1) * (100 + PERCENT) <= sizes * (100 - PERCENT)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    return chosen.mapInArrow(run, "key long, elements binary").dropDuplicates(["key"])
+    return met.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar, compared element by element."""
+    pairs = cut(_possible(pairs, contents))
     left = contents.select(F.col("key").alias("a"), F.col("elements").alias("x"))
     right = contents.select(F.col("key").alias("b"), F.col("elements").alias("y"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
