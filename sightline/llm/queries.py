@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.llm import (
+    block_labeller,
     jaccard_join,
     multi_index,
     oracle,
@@ -96,3 +97,8 @@ def op6_word_table(spark: SparkSession, folder: str) -> DataFrame:
 def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return multi_index.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op9_block_labeller(spark: SparkSession, folder: str) -> DataFrame:
+    return block_labeller.extract(table(spark, folder, "pages"))
