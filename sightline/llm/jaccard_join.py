@@ -327,3 +327,17 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return sets.join(named, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def thin(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group of linked documents, the one with the smallest id.
+
+    Rows with a null id stay. Of several rows with one id one stays.
+    """
+    linked = cut(link(docs, id_column, text_column))
+    stay = linked.where("component_id = doc_id").select(F.col("doc_id").alias("_stay")).distinct()
+    kept = docs.join(stay, docs[id_column] == stay["_stay"], "left_semi")
+    counts = linked.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"))
+    if not counts.where("_n > 1").isEmpty():
+        kept = kept.dropDuplicates([id_column])
+    return kept.unionByName(docs.where(F.col(id_column).isNull()))

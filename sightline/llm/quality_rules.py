@@ -42,21 +42,26 @@ def _combined(hashes: str, distance: int) -> Column:
     return F.slice(pairs, 1, F.greatest(F.size(run) - distance, F.lit(0)))
 
 
-def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
     """The counts of each document, with its language and source.
 
     Null texts count as empty. Rows are kept as they are, repeated ids included.
+    With ``carry`` the column ``row`` holds the row itself.
     """
+    row = [F.struct("*").alias("row")] if carry else []
+    carried = ["row"] if carry else []
     text = F.col("text")
     base = docs.select(
         F.col(id_column).alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        *row,
     )
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     # Each step names its arrays, as a lambda would evaluate an inlined expression for every element.
     step = base.select(
+        *carried,
         "doc_id",
         "lang",
         "source",
@@ -94,6 +99,7 @@ def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
     total = F.aggregate("covers", F.lit(0).cast("long"), lambda a, x: a + x)
     return step.select(
+        *carried,
         "doc_id",
         "lang",
         "source",
@@ -178,14 +184,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     return met.groupBy("lang", "source").agg(*columns)
 
 
-def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its counts, ``base_failed`` and ``kept``.
-
-    Null language and source are groups of their own. Documents without words
-    fail the base rule. An empty table gives an empty result.
-    """
-    measured = cut(measures(docs, id_column, text_column))
-    limits = thresholds(sketches(measured)).select(
+def _judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    limits = limits.select(
         F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"max_{s}" for s in SIGNALS]
     )
     met = measured.join(
@@ -197,13 +197,27 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     far = F.lit(False)
     for s, (part, whole) in SIGNALS.items():
         far = far | (_ratio(part, whole) > F.col(f"max_{s}"))
-    return met.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & ~far).alias("kept"),
+    return met.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
+
+
+def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: its counts, ``base_failed`` and ``kept``.
+
+    Null language and source are groups of their own. Documents without words
+    fail the base rule. An empty table gives an empty result.
+    """
+    measured = cut(measures(docs, id_column, text_column))
+    return _judged(measured, thresholds(sketches(measured))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Counts are taken twice, once for the thresholds and once beside the rows, so
+    that no text is shuffled.
+    """
+    limits = cut(thresholds(sketches(measures(docs, id_column, text_column))))
+    judged = _judged(measures(docs, id_column, text_column, carry=True), limits)
+    return judged.where("kept").select("row.*")

@@ -246,15 +246,11 @@ def _repeated(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return packed, early.unionByName(late)
 
 
-def _results(docs: DataFrame, id_column: str, text_column: str, columns: list[str]) -> DataFrame:
-    keyed = docs.select(
-        *columns,
-        F.col(id_column).alias("_id"),
-        whole_text(text_column).alias("text"),
-    ).withColumn("key", F.xxhash64("text"))
+def _left(keyed: DataFrame) -> DataFrame:
+    """What is left of each text that loses something."""
     packed, runs = _repeated(keyed)
     spans = runs.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    return keyed, packed, spans
+    return _kept(packed.join(spans, "key"))
 
 
 def remove(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -264,8 +260,9 @@ def remove(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     row has its result, rows with equal or null ids too; equal texts of 200 bytes
     or more are removed whole. ``trimmed`` gives the remaining texts themselves.
     """
-    keyed, packed, spans = _results(docs, id_column, text_column, [])
-    left = _kept(packed.join(spans, "key"))
+    keyed = docs.select(F.col(id_column).alias("_id"), whole_text(text_column).alias("text"))
+    keyed = keyed.withColumn("key", F.xxhash64("text"))
+    left = _left(keyed)
     changed = left.select("key", "removed", F.col("spans").alias("n"), F.sha2("left", 256).alias("sha"))
     changed = cut(changed.dropDuplicates(["key"]))
     rows = cut(
@@ -286,3 +283,32 @@ def remove(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("sha", "whole")).alias("kept_sha256"),
     )
+
+
+def trimmed(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars") -> DataFrame:
+    """``docs`` with repeated passages taken out of the texts, and their length set anew.
+
+    Bytes left over of a character that a passage has cut through go too. Null
+    texts stay null. Every row stays, also when nothing is left of its text.
+    """
+    text = F.col(text_column)
+    keyed = docs.select(whole_text(text_column).alias("text")).withColumn("key", F.xxhash64("text"))
+    left = _left(keyed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [v.decode("utf-8", "ignore") for v in batch.column("left").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())], ["_key", "_left"])
+
+    changed = cut(left.mapInArrow(run, "_key long, _left string").dropDuplicates(["_key"]))
+    copied = keyed.where(F.octet_length("text") >= LENGTH).groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    copied = cut(copied.select(F.col("key").alias("_copied")))
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(whole_text(text_column)).alias("_key"))
+    met = rows.join(changed, "_key", "left").join(copied, F.col("_key") == F.col("_copied"), "left")
+    old = F.col("_row")[text_column]
+    new = F.when(F.col("_copied").isNotNull(), F.lit("")).otherwise(F.coalesce("_left", old))
+    columns = [c for c in docs.columns]
+    out = met.select(*[(new if c == text_column else F.col("_row")[c]).alias(c) for c in columns])
+    if length_column in columns:
+        out = out.withColumn(length_column, F.length(text).cast(docs.schema[length_column].dataType))
+    return out.select(*columns)

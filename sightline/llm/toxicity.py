@@ -236,3 +236,24 @@ def judge(
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose score is under the threshold, with all their columns."""
+    model = fit(labelled_sample(docs, labels, text_column, id_column))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if "constant" in model:
+                clean = np.full(batch.num_rows, model["constant"] < THRESHOLD)
+            elif batch.num_rows:
+                texts = [t.as_py() or "" for t in batch.column(text_column)]
+                rows = [features(gains(codes(t), model["toxic"], model["ordinary"])) for t in texts]
+                clean = probability(model, np.array(rows)) < THRESHOLD
+            else:
+                clean = np.zeros(0, bool)
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
