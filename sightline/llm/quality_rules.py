@@ -215,9 +215,10 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    Counts are taken twice, once for the thresholds and once beside the rows, so
-    that no text is shuffled.
+    The counts are written once beside the rows, so that no text is shuffled and
+    the filter is not pushed into the expressions that count. Null language and
+    source are groups of their own; an empty table gives an empty result.
     """
-    limits = cut(thresholds(sketches(measures(docs, id_column, text_column))))
-    judged = _judged(measures(docs, id_column, text_column, carry=True), limits)
+    measured = cut(measures(docs, id_column, text_column, carry=True))
+    judged = _judged(measured, thresholds(sketches(measured)))
     return judged.where("kept").select("row.*")
