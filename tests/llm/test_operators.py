@@ -137,6 +137,13 @@ def test_quality_rules_measure_whole_texts(spark, docs, texts):
     assert all(got[i]["kept"] for i in range(7, 19))
 
 
+def test_quality_rules_keep_what_they_judge_well(docs, none):
+    kept = quality_rules.keep(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in quality_rules.judge(docs).collect() if r["kept"]}
+    assert quality_rules.keep(none).collect() == []
+
+
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
