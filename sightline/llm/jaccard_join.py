@@ -36,7 +36,7 @@ BUCKET_SIGNATURES = 2_000_000
 ENUMERATED = 5
 # Share of parts that a larger set may set aside.
 SPARE = 0.22
-# Buckets of a sketch, one byte each.
+# Least number of buckets of a sketch, one byte each.
 SKETCH = 128
 _ONE = np.ones(1, np.uint64)
 
@@ -108,23 +108,42 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
     return int(np.int64(mix(_ONE * a)[0].astype(np.int64))), int(np.int64(mix(_ONE * b)[0].astype(np.int64)))
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Elements of a set counted by bucket.
+
+    Two sets differ in at least as many elements as their sketches do, so these
+    rule out a pair without its elements. Larger sets have more buckets, about
+    one to every four to eight elements, in a power of two: folded by adding up,
+    a large sketch compares with a small one.
+    """
+    size = max(SKETCH, 1 << (len(found) // 8).bit_length())
+    counts = np.bincount((found >> U(20)).astype(np.int64) % size, minlength=size)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Number of elements in which two sets differ at least, by their sketches."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    size = min(len(a), len(b))
+    return int(np.abs(a.reshape(-1, size).sum(axis=0) - b.reshape(-1, size).sum(axis=0)).sum())
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n and the key of the set of every row."""
+    """doc_id, n, key and sketch of the set of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, high, low = [], [], []
+            sizes, keys, sketches = [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), WORDS)
                 sizes.append(len(found))
-                a, b = set_key(found) if len(found) else (0, 0)
-                high.append(a)
-                low.append(b)
-            columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (sizes, high, low))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "high", "low"])
+                keys.append(set_key(found)[0] if len(found) else 0)
+                sketches.append(sketch(found) if len(found) else None)
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "sketch"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, high long, low long")
+    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, sketch binary")
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -202,55 +221,47 @@ def _groups(table: pa.Table) -> pa.Table:
     )
 
 
-def _contents(docs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
-    """key, n, sketch and elements of the wanted sets, read off one document each.
-
-    The sketch counts elements by bucket. Two sets differ in at least as many
-    elements as their sketches do, so it rules out a pair without its elements.
-    """
-    one = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    chosen = docs.join(one, "doc_id").select("key", "text")
+def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out."""
+    left = members.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = members.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py(), WORDS) for t in batch.column("text")]
-            counts = [np.bincount((s >> U(20)).astype(np.int64) % SKETCH, minlength=SKETCH) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in counts], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                ["key", "n", "sketch", "elements"],
-            )
+            differ = [least_difference(x, y) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)]
+            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            keep = np.array(differ, np.int64) * (100 + PERCENT) <= sizes * (100 - PERCENT)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    return chosen.mapInArrow(run, "key long, n long, sketch binary, elements binary").dropDuplicates(["key"])
+    return met.mapInArrow(run, "a long, b long")
 
 
-def _possible(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches do not rule out."""
-    left = contents.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = contents.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b")
-    met = met.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT).select("a", "b", "na", "nb", "sa", "sb")
+def _contents(docs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
+    """key and elements of the wanted sets, read off one document each."""
+    one = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    chosen = docs.join(one, "doc_id").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-                for c in ("sa", "sb")
+            made = [(k, shingles(t.as_py(), WORDS)) for k, t in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True)]
+            # Of several rows with one id, only those with the wanted set.
+            made = [(k, s.tobytes()) for k, s in made if len(s) and set_key(s)[0] == k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in made], pa.int64()), pa.array([s for _, s in made], pa.binary())], ["key", "elements"]
             )
-            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            keep = np.abs(a - b).sum(axis=1) * (100 + PERCENT) <= sizes * (100 - PERCENT)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    return met.mapInArrow(run, "a long, b long")
+    return chosen.mapInArrow(run, "key long, elements binary").dropDuplicates(["key"])
 
 
-def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, compared element by element."""
-    pairs = cut(_possible(pairs, contents))
+def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar, compared element by element.
+
+    Elements are fetched only for sets in pairs that the sketches leave.
+    """
+    pairs = cut(_possible(pairs, members))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    contents = cut(_contents(docs, wanted, keyed))
     left = contents.select(F.col("key").alias("a"), F.col("elements").alias("x"))
     right = contents.select(F.col("key").alias("b"), F.col("elements").alias("y"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -260,9 +271,6 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 < PERCENT * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
@@ -272,10 +280,10 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, root): smallest key reachable. Each round takes the least label around, twice over."""
+def _components(links: DataFrame) -> DataFrame:
+    """(key, root) of every linked key: smallest key reachable. Each round takes the least label around, twice over."""
     both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = cut(nodes.select("key", F.col("key").alias("root")))
+    labels = cut(both.select(F.col("a").alias("key"), F.col("a").alias("root")).distinct())
     while True:
         near = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("root").alias("least"))
         moved = labels.join(near, labels["key"] == near["a"], "left").select(
@@ -299,28 +307,31 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
     sets = cut(_sets(texts))
-    keyed = sets.where("n > 0").select("doc_id", F.col("high").alias("key"))
+    keyed = sets.where("n > 0").select("doc_id", "key")
     elements = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), elements // BUCKET_SIGNATURES + 1)
     packed = _packed(texts, buckets).repartition(buckets, "bucket")
-    grouped = packed.groupBy("bucket").applyInArrow(_groups, "group long, key long")
-    groups = cut(grouped)
-    members = groups.select("key").distinct()
-    contents = cut(_contents(texts, members, keyed))
-    centres = groups.groupBy("group").agg(F.min("key").alias("a"))
-    star = groups.join(centres, "group").where("key <> a").select("a", F.col("key").alias("b")).distinct()
-    links = cut(_verified(star, contents))
-    roots = _components(contents.select("key"), links)
+    found = cut(packed.groupBy("bucket").applyInArrow(_groups, "group long, key long"))
+    shared = found.select("key").distinct()
+    members = cut(sets.where("n > 0").select("key", "n", "sketch").join(shared, "key", "left_semi").dropDuplicates(["key"]))
+    # Sizes travel with the groups, so pairs too far apart in size are never made.
+    groups = cut(found.join(members.select("key", "n"), "key"))
+    near = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * PERCENT
+    centres = groups.groupBy("group").agg(F.min(F.struct("key", "n")).alias("c"))
+    centres = centres.select("group", F.col("c.key").alias("a"), F.col("c.n").alias("_n"))
+    star = groups.join(centres, "group").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct()
+    links = cut(_verified(star, members, texts, keyed))
+    roots = _components(links)
     # Groups that still hold several components: every pair across them, smaller key first.
-    placed = cut(groups.join(roots, "key"))
+    placed = cut(groups.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
     mixed = placed.groupBy("group").agg(F.min("root").alias("_first"), F.max("root").alias("_last"))
-    left = cut(placed.join(mixed.where("_first <> _last"), "group").select("group", "key", "root").distinct())
-    other = left.select("group", F.col("key").alias("b"), F.col("root").alias("_root"))
-    across = left.join(other, "group").where("key < b and root <> _root").select(F.col("key").alias("a"), "b").distinct()
-    across = across.join(links, ["a", "b"], "left_anti")
-    more = cut(_verified(across, contents))
+    left = cut(placed.join(mixed.where("_first <> _last"), "group").select("group", "key", "n", "root").distinct())
+    other = left.select("group", F.col("key").alias("b"), F.col("n").alias("_n"), F.col("root").alias("_root"))
+    across = left.join(other, "group").where((F.col("key") < F.col("b")) & (F.col("root") != F.col("_root")) & near)
+    across = across.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
+    more = cut(_verified(across, members, texts, keyed))
     if not more.isEmpty():
-        roots = _components(contents.select("key"), links.unionByName(more))
+        roots = _components(links.unionByName(more))
     rooted = cut(keyed.join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root")))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(names, "root").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

@@ -34,7 +34,8 @@ FOLDS = 10
 SEED = 90
 SVM_ITERATIONS = 250
 
-ROWS_PER_TASK = 50_000
+# Columns that identify a row of the vectors.
+ROW_KEYS = ("ip", "_row")
 
 # Columns of the enriched sightings the first family of models uses.
 DISTINCT_COLUMNS = [
@@ -55,6 +56,7 @@ CATEGORIES = {
     "score_direction": "rescoreIndex",
     "continent": "continentIndex",
 }
+LABEL = "score_direction"
 ENRICHED_FEATURES = [
     "sizeIndex",
     "sectorIndex",
@@ -85,20 +87,30 @@ def distinct_enriched(enriched: DataFrame) -> DataFrame:
 
 
 def index_categories(enriched: DataFrame) -> DataFrame:
-    """Categories as numbers, commonest first, ties in alphabetical order."""
+    """Categories as numbers, commonest first, ties in alphabetical order.
+
+    ``_row`` identifies a row by all its columns. The label gets no index for
+    unknown values, so it declares the classes that are there.
+    """
     rows = distinct_enriched(enriched)
-    indexer = StringIndexer(
-        inputCols=list(CATEGORIES),
-        outputCols=list(CATEGORIES.values()),
-        stringOrderType="frequencyDesc",
-        handleInvalid="keep",
-    )
-    return indexer.fit(rows).transform(rows).select(*CATEGORIES.values(), "elapsed", "count_seen")
+
+    def indexer(names: list[str], invalid: str) -> StringIndexer:
+        return StringIndexer(
+            inputCols=names,
+            outputCols=[CATEGORIES[c] for c in names],
+            stringOrderType="frequencyDesc",
+            handleInvalid=invalid,
+        )
+
+    keyed = rows.withColumn("_row", F.xxhash64(*DISTINCT_COLUMNS))
+    indexed = indexer([c for c in CATEGORIES if c != LABEL], "keep").fit(rows).transform(keyed)
+    labelled = indexer([LABEL], "skip").fit(rows).transform(indexed)
+    return labelled.select(*CATEGORIES.values(), "elapsed", "count_seen", "_row")
 
 
 def _assembled(frame: DataFrame, columns: list[str], label) -> DataFrame:
     vector = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
-    keys = [c for c in ("ip",) if c in frame.columns]
+    keys = [c for c in ROW_KEYS if c in frame.columns]
     return (
         vector.transform(frame.withColumn("label", label))
         .where(F.col("label").isNotNull())
@@ -178,8 +190,13 @@ def evaluator(measure: str):
 
 
 def with_folds(vectors: DataFrame, folds: int) -> DataFrame:
-    """Fold number from the row itself, so a rerun has the same folds."""
-    unit = hash_unit(F.lit("fold"), "label", F.col("features").cast("string"))
+    """Fold number from the key of the row, so a rerun has the same folds.
+
+    Rows with equal vectors and different keys spread over the folds. Vectors
+    without a key are told apart by their label and values alone.
+    """
+    keys = [c for c in ROW_KEYS if c in vectors.columns]
+    unit = hash_unit(F.lit("fold"), *(keys or ["label", F.col("features").cast("string")]))
     return vectors.withColumn("fold", F.floor(unit * folds).cast("int"))
 
 
@@ -218,17 +235,6 @@ def feature_names(vectors: DataFrame) -> list[str] | None:
     return [a.get("name", str(a["idx"])) for a in sorted(named, key=lambda a: a["idx"])] or None
 
 
-def held(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cached vectors, and a view of them with no more tasks than the rows warrant.
-
-    Training runs a job per step over the same rows. On few rows the start of
-    tasks would be most of the time; on many the partitions stay as they are.
-    """
-    cached = vectors.persist()
-    width = max(1, -(-cached.count() // ROWS_PER_TASK))
-    return cached, cached.coalesce(width)
-
-
 def train_and_report(
     vectors: DataFrame, learner: Learner, folds: int = FOLDS, parallelism: int = 4
 ) -> DataFrame:
@@ -237,7 +243,7 @@ def train_and_report(
     ``held_out`` is the mean over the folds of the chosen setting, ``training``
     the measure on the rows the final model was fitted on.
     """
-    cached, vectors = held(with_folds(vectors, folds))
+    vectors = with_folds(vectors, folds).persist()
     try:
         found = cross_validate(vectors, learner, folds, parallelism)
         judge = evaluator(learner.measure)
@@ -254,7 +260,7 @@ def train_and_report(
             ]
         return _metrics(vectors.sparkSession, rows)
     finally:
-        cached.unpersist()
+        vectors.unpersist()
 
 
 def _svm() -> LinearSVC:
@@ -263,12 +269,11 @@ def _svm() -> LinearSVC:
 
 def train_svm(vectors: DataFrame, balanced: bool = False) -> tuple[LinearSVCModel, DataFrame]:
     """Fit on a 65 % split; the confusion of the held-out rest comes with the model."""
+    vectors = vectors.persist()
     train, test = hash_split(vectors, ["ip"])
     if balanced:
         train = hash_balance(train, ["ip"])
-    cached, train = held(train)
     model = _svm().fit(train)
-    cached.unpersist()
     return model, confusion(model.transform(test))
 
 
@@ -289,7 +294,7 @@ def fit_logistic_formula(
     frame: DataFrame, formula: str, folds: int = FOLDS
 ) -> tuple[PipelineModel, DataFrame]:
     """Binomial regression from a formula: AIC, k-fold cost and R squared of the fit."""
-    cached, frame = held(frame)
+    frame = frame.persist()
     glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label")
     flow = Pipeline(stages=[RFormula(formula=formula), glm])
     cost = RegressionEvaluator(labelCol="label", metricName="mse")
@@ -307,5 +312,5 @@ def fit_logistic_formula(
         ("cv_cost", search.avgMetrics[0]),
         ("r2", r2),
     ]
-    cached.unpersist()
+    frame.unpersist()
     return model, _metrics(frame.sparkSession, rows)

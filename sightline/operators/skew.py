@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.session import cut
+
 # A key with fewer rows than this is no burden to one task.
 HEAVY_ROWS = 1_000_000
 # Bound on the number of keys treated as heavy, and so on what is broadcast.
 # Any other key then has at most one in HEAVY_KEYS of all rows.
 HEAVY_KEYS = 10_000
-_SPREAD = 4096
 
 
 def heavy_keys(
@@ -41,11 +42,11 @@ def lookup_join(
     """Join ``left`` to ``right``, which has one row per ``key``.
 
     Rows of a heavy key get their match from a broadcast of at most ``keep``
-    rows. They then pass the shuffle under a spread second key that matches
-    nothing, so no task receives a heavy key whole. All other rows are joined
-    by the shuffle as usual. ``left`` is read once more, key column only, to
-    count. Where ``left`` is known to have ``at_most`` so many rows, and those
-    are too few to make any key heavy, this is a plain join.
+    rows and stay where they are. All other rows, unmatched and null keys
+    included, are joined by the shuffle as usual. ``left`` is read once more,
+    key column only, to count, which happens at once; without a heavy key the
+    join is a plain one. Where ``left`` is known to have ``at_most`` so many
+    rows, and those are too few to make any key heavy, nothing is counted.
 
     ``counted`` is a cheaper table with the same keys as ``left``. Several of
     these joins in a row should count the keys on the table they started from.
@@ -54,18 +55,12 @@ def lookup_join(
         raise ValueError("lookup_join does inner and left joins")
     if at_most is not None and at_most < min_rows:
         return left.join(right, key, how)
-    values = [c for c in right.columns if c != key]
-    packed = right.select(key, F.struct(*values, F.lit(True).alias("_found")).alias("_cold"))
-    heavy = heavy_keys(left if counted is None else counted, key, min_rows, keep)
-    # At most `keep` rows: the broadcast is bounded by construction.
-    served = packed.join(F.broadcast(heavy), key, "left_semi").withColumnRenamed("_cold", "_hot")
-    tagged = left.join(F.broadcast(served), key, "left")
-    # The partition number is the same when a task is run again, a random number is not.
-    spread = F.lit(1) + F.pmod(F.spark_partition_id(), F.lit(_SPREAD))
-    tagged = tagged.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread))
-    joined = tagged.join(packed.withColumn("_salt", F.lit(0)), [key, "_salt"], "left")
-    match = F.coalesce("_hot", "_cold")
-    if how == "inner":
-        joined = joined.where(match["_found"])
-    others = [c for c in left.columns if c != key]
-    return joined.select(key, *others, *[match[v].alias(v) for v in values])
+    heavy = cut(heavy_keys(left if counted is None else counted, key, min_rows, keep))
+    if heavy.isEmpty():
+        return left.join(right, key, how)
+    # At most `keep` rows: both broadcasts are bounded by construction.
+    mark = F.broadcast(heavy)
+    served = right.join(mark, key, "left_semi")
+    hot = left.join(mark, key, "left_semi").join(F.broadcast(served), key, how)
+    cold = left.join(mark, key, "left_anti").join(right, key, how)
+    return cold.unionByName(hot)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -90,5 +92,5 @@ def read_hosts(spark: SparkSession, path: str) -> DataFrame:
 def read_baskets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Text file with one basket per line to arrays of distinct items."""
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    items = F.transform(F.split("value", sep), lambda item: F.trim(item))
+    items = F.transform(F.split("value", re.escape(sep)), lambda item: F.trim(item))
     return lines.select(F.array_distinct(F.filter(items, lambda i: i != "")).alias("items"))

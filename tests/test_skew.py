@@ -41,3 +41,21 @@ def test_lookup_join_with_few_rows_is_plain(sides):
     assert values(got) == values(left.join(right, "k"))
     with pytest.raises(ValueError):
         lookup_join(left, right, "k", how="full")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_spreads_a_heavy_key(spark, how):
+    # One key has 90 % of the rows; they stay on the partitions they came from.
+    left = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 != 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("row")
+    )
+    right = spark.range(40_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lookup_join(left, right, "k", how, min_rows=1000)
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 40_000
+        assert max(sizes) <= 40_000 / 8 + 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
