@@ -17,7 +17,9 @@ from sightline.llm import (
     quality_rules,
     sharding,
     suffix_dedup,
+    tiled_cosine,
     toxicity,
+    whitening,
     word_table,
 )
 from sightline.llm.common import table
@@ -102,3 +104,13 @@ def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_block_labeller(spark: SparkSession, folder: str) -> DataFrame:
     return block_labeller.extract(table(spark, folder, "pages"))
+
+
+@query
+def op11_tiled_cosine(spark: SparkSession, folder: str) -> DataFrame:
+    return tiled_cosine.link(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
