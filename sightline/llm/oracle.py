@@ -60,3 +60,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FROM ratios) r
 JOIN wide w ON r.lang IS NOT DISTINCT FROM w.lang AND r.source IS NOT DISTINCT FROM w.source
 """
+
+# The checksum goes bit by bit: a byte is XORed in, then eight marks of -1 shift it through.
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS keyed, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), steps AS (
+  SELECT run, n, flatten(list_transform(string_split(keyed, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c), -1, -1, -1, -1, -1, -1, -1, -1]
+    ELSE [192 + (unicode(c) >> 6), -1, -1, -1, -1, -1, -1, -1, -1, 128 + (unicode(c) & 63), -1, -1, -1, -1, -1, -1, -1, -1] END)) AS s
+  FROM counted
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, s::BIGINT[]), lambda c, x:
+    CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS h
+  FROM steps
+), typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM holes a JOIN holes b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.rest, a.word, a.n FROM holes a JOIN words w ON a.rest = w.word
+  UNION SELECT a.word, w.word, w.n FROM holes a JOIN words w ON a.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS best, max(m) AS best_n FROM near GROUP BY word
+), judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS at FROM judged
+  UNION ALL SELECT c.word, j.form FROM chain c JOIN judged j ON c.at = j.word WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, c.at AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chain c USING (word) JOIN judged e ON c.at = e.word AND e.form IS NULL
+"""

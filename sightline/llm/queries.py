@@ -16,6 +16,7 @@ from sightline.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    spelling,
     suffix_dedup,
     tiled_cosine,
     toxicity,
@@ -111,6 +112,14 @@ def op11_tiled_cosine(spark: SparkSession, folder: str) -> DataFrame:
     return tiled_cosine.link(table(spark, folder, "embeddings"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = oracle.SPELLING
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
