@@ -32,6 +32,10 @@ ROUNDING = 2e-15
 # Without progress at rounding, residuals under this share of the largest eigenvalue certify too.
 CERTIFIED = 1e-11
 ROUNDS = 12
+# Steps of the Lanczos process that finds the lower end of the spectrum.
+STEPS = 8
+# Entries in one partition of the fit list.
+PARTITION = 1 << 20
 # Whole parts of 64 times an entry stay exact up to here.
 LARGEST = float(2**46)
 
@@ -104,9 +108,28 @@ def deviations(column: pa.Array, n: int, sums: np.ndarray) -> list[int | None]:
     return [v if v < 2**63 else None for v in exact]
 
 
-def filtered(data: Centred, block: np.ndarray, unwanted: float, largest: float) -> np.ndarray:
-    """``block`` through the Chebyshev polynomial that is small on [0, unwanted]."""
-    centre = half = unwanted / 2
+def lower_end(data: Centred, rng: np.random.Generator) -> float:
+    """About the smallest eigenvalue, from a few Lanczos steps; never below zero."""
+    basis = [v / np.linalg.norm(v) for v in [rng.normal(size=data.width)]]
+    middle, beside = [], []
+    for _ in range(min(STEPS, data.width)):
+        product = data.times(basis[-1][:, None])[:, 0]
+        middle.append(basis[-1] @ product)
+        known = np.array(basis)
+        for _ in range(2):
+            product = product - known.T @ (known @ product)
+        beside.append(np.linalg.norm(product))
+        if beside[-1] <= 1e-12 * abs(middle[0]):
+            break
+        basis.append(product / beside[-1])
+    values, vectors = np.linalg.eigh(np.diag(middle) + np.diag(beside[:-1], 1) + np.diag(beside[:-1], -1))
+    return max(0.0, values[0] - beside[-1] * abs(vectors[-1, 0]))
+
+
+def filtered(data: Centred, block: np.ndarray, least: float, unwanted: float, largest: float) -> np.ndarray:
+    """``block`` through the Chebyshev polynomial that is small on [least, unwanted]."""
+    least = min(least, 0.9 * unwanted)
+    centre, half = (unwanted + least) / 2, (unwanted - least) / 2
     steep = np.arccosh(max((largest - centre) / half, 1 + 1e-9))
     degree = int(np.clip(np.log(MOST_SPREAD) / steep, 2, DEGREE))
     # The recurrence, scaled so that the largest eigenvalue stays near one.
@@ -122,13 +145,14 @@ def filtered(data: Centred, block: np.ndarray, unwanted: float, largest: float)
 def eigenpairs(data: Centred, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``wanted`` largest eigenvalues and their unit vectors, as certified by their residuals.
 
-    The block is doubled where ``ROUNDS`` filters do not certify it; one as wide as
-    the vectors gives all pairs at once.
+    Where ``ROUNDS`` filters do not certify the block, the filter goes down to zero
+    and the block is doubled; one as wide as the vectors gives all pairs at once.
     """
     width = data.width
     size = min(width, wanted + GUARD)
     rng = np.random.default_rng(20_260_301)
     block = np.linalg.qr(rng.normal(size=(width, size)))[0]
+    least = lower_end(data, rng) if size < width else 0.0
     while True:
         best = np.inf
         for _ in range(ROUNDS):
@@ -148,8 +172,8 @@ def eigenpairs(data: Centred, wanted: int) -> tuple[np.ndarray, np.ndarray]:
                 block = np.linalg.qr(block)[0]
                 continue
             best = min(best, residual)
-            block = np.linalg.qr(filtered(data, block, values[-1], largest))[0]
-        grown = min(width, 2 * size)
+            block = np.linalg.qr(filtered(data, block, least, values[-1], largest))[0]
+        grown, least = min(width, 2 * size), 0.0
         block = np.linalg.qr(np.column_stack([block, rng.normal(size=(width, grown - size))]))[0]
         size = grown
 
@@ -173,7 +197,8 @@ def whiten(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
     n, sums = totals[0], [int(v) for v in totals[1:] if v is not None]
     if n < 2:
         return spark.createDataFrame([], schema)
-    data = Centred(fit, n, sums)
+    # The passes read tables whose partitions follow the data, not the width of the shuffle.
+    data = Centred(cut(fit.repartition(n * width // PARTITION + 1)), n, sums)
     values, found = eigenpairs(data, min(components, width))
     real = values > 1e-13 * max(values[0], 0)
     values, found = values[real], found[:, real]
