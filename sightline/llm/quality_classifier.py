@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.common import whole_text
 from sightline.llm.kernels import SPACES, pair, word_hashes
+from sightline.llm.sums import summed
 from sightline.session import cut
 
 STATISTICS = 18
@@ -106,7 +107,13 @@ def fourier(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Random Fourier features of standardised statistics, and a constant."""
     directions, shifts = _directions()
     z = np.clip((x - centre) / scale, -8, 8)
-    return np.column_stack([np.sqrt(2 / FOURIER) * np.cos(z @ directions + shifts), np.ones(len(x))])
+    # Products term by term: those of a matrix product depend on the other rows.
+    turned = np.einsum("ij,jk->ik", z, directions) + shifts
+    return np.column_stack([np.sqrt(2 / FOURIER) * np.cos(turned), np.ones(len(x))])
+
+
+def raw_score(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,j->i", z, weights)
 
 
 def _moments(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -119,33 +126,14 @@ def _moments(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _equations(labelled: DataFrame, centre: np.ndarray, scale: np.ndarray) -> dict[int, np.ndarray]:
     """Normal equations of each half, as one matrix with the right side as last column."""
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, FOURIER + 1, FOURIER + 2))
-        for batch in batches:
-            z, y = fourier(_matrix(batch), centre, scale), batch.column("label").to_numpy()
-            half = batch.column("half").to_numpy()
-            for h in (0, 1):
-                zh = z[half == h]
-                total[h] += zh.T @ np.column_stack([zh, y[half == h]])
-        rows = total.reshape(-1, FOURIER + 2)
-        if rows.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows)), pa.int32()), pa.array(list(rows), pa.list_(pa.float64()))], ["row", "part"]
-            )
+    def part(batch: pa.RecordBatch) -> np.ndarray:
+        half = batch.column("half").to_numpy()
+        z, y = fourier(_matrix(batch), centre, scale), batch.column("label").to_numpy()
+        return np.concatenate(
+            [(z[half == h].T @ np.column_stack([z[half == h], y[half == h]])).reshape(-1) for h in (0, 1)]
+        )
 
-    def added(table: pa.Table) -> pa.Table:
-        parts = table.column("part").combine_chunks().flatten().to_numpy().reshape(-1, FOURIER + 2)
-        rows, of = np.unique(table.column("row").to_numpy(), return_inverse=True)
-        out = np.zeros((len(rows), FOURIER + 2))
-        np.add.at(out, of, parts)
-        return pa.table({"row": pa.array(rows, pa.int32()), "part": pa.array(list(out), pa.list_(pa.float64()))})
-
-    schema = "row int, part array<double>"
-    # One matrix of fixed size for each partition, added up by groups of rows.
-    summed = labelled.mapInArrow(sums, schema).groupBy(F.expr("row div 16")).applyInArrow(added, schema)
-    total = np.zeros((2, FOURIER + 1, FOURIER + 2))
-    for r in summed.collect():
-        total.reshape(-1, FOURIER + 2)[r["row"]] = r["part"]
+    total = summed(labelled, part, 2 * (FOURIER + 1) * (FOURIER + 2)).reshape(2, FOURIER + 1, FOURIER + 2)
     return {0: total[0], 1: total[1]}
 
 
@@ -182,7 +170,7 @@ def fit(labelled: DataFrame) -> dict:
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z, half = fourier(_matrix(batch), centre, scale), batch.column("half").to_numpy()
-            raw = np.where(half == 0, z @ crossed[0], z @ crossed[1])
+            raw = np.where(half == 0, raw_score(z, crossed[0]), raw_score(z, crossed[1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_steps(raw).astype(np.int32)), batch.column("label")], ["step", "label"]
             )
@@ -197,7 +185,7 @@ def fit(labelled: DataFrame) -> dict:
 def probability(model: dict, x: np.ndarray) -> np.ndarray:
     if "constant" in model:
         return np.full(len(x), model["constant"])
-    raw = fourier(x, model["centre"], model["scale"]) @ model["weights"]
+    raw = raw_score(fourier(x, model["centre"], model["scale"]), model["weights"])
     level = np.interp((raw + 1) / 3 * STEPS, model["at"], model["mean"])
     return np.clip((1 - RAW_SHARE) * level + RAW_SHARE / (1 + np.exp(-np.clip(4 * raw - 2, -30, 30))), 0, 1)
 
