@@ -9,6 +9,9 @@ from sightline.graph.links import Links, both_ways
 from sightline.operators.skew import HEAVY_ROWS, lookup_join
 from sightline.session import cut
 
+# Random ranks tried side by side in a round of strong components.
+RANKS = 3
+
 
 def _hooked(links: Links, states: DataFrame, value: str) -> DataFrame:
     """Smallest ``value`` among a vertex and the vertices that point to it."""
@@ -64,66 +67,88 @@ def _trimmed(edges: DataFrame, min_heavy: int, size: int) -> DataFrame:
     return kept.select("src", "dst")
 
 
-def strong_components(graph, max_iter: int, min_heavy: int = HEAVY_ROWS) -> DataFrame:
+def _least_labels(links: Links, states: DataFrame, min_heavy: int, size: int) -> DataFrame:
+    """For each label column, the least label among a vertex and all that lead to it.
+
+    A label names a vertex, and what leads there leads on, so a round may also
+    take the label of the vertex that a label names. That roughly doubles the
+    distance covered.
+    """
+    names = [c for c in states.columns if c != "id"]
+    while True:
+        sent = links.meet(states).select(F.col("dst").alias("id"), *names, F.lit(False).alias("_own"))
+        own = states.withColumn("_own", F.lit(True))
+        least = [F.min(c).alias(c) for c in names]
+        was = [F.max(F.when(F.col("_own"), F.col(c))).alias(f"_{c}") for c in names]
+        near = own.unionByName(sent).groupBy("id").agg(*least, *was, F.max("_own").alias("_own"))
+        near = cut(near.where("_own").drop("_own"))
+        changed = F.lit(False)
+        for c in names:
+            changed = changed | (F.col(c) != F.col(f"_{c}"))
+        if not near.where(changed).take(1):
+            return near.select("id", *names)
+        label = F.posexplode(F.array(*names))
+        long = near.select("id", label.alias("_k", "_label"))
+        long = long.withColumn("_at", F.struct("_k", F.col("_label.id").alias("id")))
+        ahead = near.select("id", label.alias("_k", "_next")).select(F.struct("_k", "id").alias("_at"), "_next")
+        # Many vertices may carry one label: this join is skewed by nature.
+        far = lookup_join(long, ahead, "_at", min_rows=min_heavy, at_most=size * len(names))
+        nearer = F.least("_label", "_next")
+        states = cut(
+            far.groupBy("id").agg(*[F.min(F.when(F.col("_k") == k, nearer)).alias(c) for k, c in enumerate(names)])
+        )
+
+
+def strong_components(graph, max_iter: int = 0, min_heavy: int = HEAVY_ROWS) -> DataFrame:
     """``component`` is the smallest id of the strongly connected component.
 
-    One round, over the edges not yet settled: every vertex learns the
-    smallest id that reaches it (its colour), then each vertex whose colour is
-    its own id collects the vertices of that colour that reach it. Those form
-    one component each. Vertices not settled after ``max_iter`` rounds, and
-    those on no cycle, are components of their own.
+    A round gives every vertex a few random ranks and finds, for each, the vertex
+    of least rank that leads to it and the one that it leads to. Where both are
+    one, the vertex shares a cycle with that one and is settled. Vertices of one
+    component agree in all these labels, so edges between different labels lie on
+    no cycle and go. The vertex of least rank in each part that is left always
+    settles, and random ranks about halve the parts, so few rounds do.
+
+    The result is exact: ``max_iter``, kept for callers that pass a limit, stops
+    nothing. Vertices on no cycle are components of their own.
     """
     vertices = graph.vertices.select("id")
     edges = cut(graph.edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     size = edges.count()
     settled: DataFrame | None = None
-    for _ in range(max_iter):
+    turn = 0
+    while True:
         edges = cut(_trimmed(edges, min_heavy, size))
         if not edges.take(1):
             break
+        turn += 1
         active = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        colours = cut(active.withColumn("colour", F.col("id")))
-        forward = Links(edges, min_heavy, is_cut=True)
-        while True:
-            moved = cut(_hooked(forward, colours, "colour"))
-            colours = moved.select("id", "colour")
-            if not moved.where(F.col("colour") != F.col("was")).take(1):
-                break
-        forward.close()
-        # Only edges inside one colour can lie on a cycle.
-        inner = edges
-        for end in ("src", "dst"):
-            named = colours.select(F.col("id").alias(end), F.col("colour").alias(f"{end}_colour"))
-            inner = lookup_join(
-                inner, named, end, min_rows=min_heavy, at_most=size, counted=edges
-            )
-        inner = cut(
-            inner.where(F.col("src_colour") == F.col("dst_colour")).select("src", "dst")
-        )
-        backward = Links(
-            inner.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
-            min_heavy,
-            is_cut=True,
-        )
-        roots = colours.where(F.col("id") == F.col("colour"))
-        reached = frontier = cut(roots)
-        while frontier.take(1):
-            step = backward.meet(frontier).select(F.col("dst").alias("id"), "colour").distinct()
-            frontier = cut(step.join(reached.select("id"), "id", "left_anti"))
-            reached = cut(reached.unionByName(frontier))
-        backward.close()
-        found = reached.select("id", F.col("colour").alias("component"))
+        ranks = {
+            f"l{k}": F.struct(F.xxhash64(F.lit(turn), F.lit(k), F.col("id")).alias("rank"), F.col("id").alias("id"))
+            for k in range(RANKS)
+        }
+        start = cut(active.withColumns(ranks))
+        back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        ends = []
+        for way in (edges, back):
+            links = Links(way, min_heavy, is_cut=way is edges)
+            ends.append(_least_labels(links, start, min_heavy, size).select("id", F.struct(*ranks).alias("labels")))
+            links.close()
+        met = ends[0].join(ends[1].withColumnRenamed("labels", "back"), "id")
+        root = F.coalesce(*[F.when(F.col(f"labels.{c}") == F.col(f"back.{c}"), F.col(f"labels.{c}.id")) for c in ranks])
+        placed = cut(met.select("id", F.struct("labels", "back").alias("labels"), root.alias("root")))
+        found = placed.where("root is not null").select("id", "root")
         settled = found if settled is None else cut(settled.unionByName(found))
-        gone = reached.select("id")
-        rest = inner
+        # Only edges whose ends agree in all labels can lie on a cycle.
+        open_ends = placed.where("root is null")
+        inner = edges
         for end in ("src", "dst"):
-            marks = gone.select(F.col("id").alias(end), F.lit(True).alias("_gone"))
-            rest = lookup_join(
-                rest, marks, end, how="left", min_rows=min_heavy, at_most=size, counted=inner
-            )
-            rest = rest.where(F.col("_gone").isNull()).drop("_gone")
-        edges = cut(rest.select("src", "dst"))
+            named = open_ends.select(F.col("id").alias(end), F.col("labels").alias(f"{end}_labels"))
+            inner = lookup_join(inner, named, end, min_rows=min_heavy, at_most=size, counted=edges)
+        edges = cut(inner.where(F.col("src_labels") == F.col("dst_labels")).select("src", "dst"))
     if settled is None:
         return vertices.select("id", F.col("id").alias("component"))
-    joined = vertices.join(settled, "id", "left")
+    smallest = settled.groupBy("root").agg(F.min("id").alias("component"))
+    named = lookup_join(settled, smallest, "root", min_rows=min_heavy, at_most=size).select("id", "component")
+    joined = vertices.join(named, "id", "left")
     return joined.select("id", F.coalesce("component", "id").alias("component"))

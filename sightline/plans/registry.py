@@ -605,7 +605,7 @@ def ml_distinct(spark, folder):
 
 @query
 def ml_indexing(spark, folder):
-    return learning.index_categories(_enriched(spark, folder))
+    return learning.index_categories(_enriched(spark, folder)).drop("_row")
 
 
 def _wide(spark: SparkSession, folder: str) -> DataFrame:

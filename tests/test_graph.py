@@ -114,6 +114,15 @@ def test_strong_components(spark, n, edges):
         assert values(got) == sorted(want, key=repr)
 
 
+def test_strong_components_behind_a_long_chain(spark):
+    # 0 -> 1 -> ... -> 60 -> 61 -> 62 -> 60 -> ... -> 70, numbered so that the smallest id leads everywhere.
+    edges = [(i, i + 1) for i in range(70)] + [(62, 60), (66, 64)]
+    got = dict(values(strong_components(graph(spark, 71, edges), 20)))
+    assert [v for v in got if got[v] == 60] == [60, 61, 62]
+    assert [v for v in got if got[v] == 64] == [64, 65, 66]
+    assert all(got[v] == v for v in got if v not in (61, 62, 65, 66))
+
+
 def test_page_rank_follows_the_formula(spark):
     edges = random_edges(20, 40, 3)
     out = {v: sum(a == v for a, _ in edges) for v in range(20)}
