@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# exp(-37) is below half a unit in the last place of a double.
-_NEGLIGIBLE = 37.0
-# exp(500) is still far inside the range of a double.
-_SAFE_EXPONENT = 500.0
+from sightline.session import cut
+
+# exp(100) leaves room for large values in a double.
+_SAFE_EXPONENT = 100.0
+# Rows of a block at most, and blocks scanned in one row.
+_MOST_BLOCK = 1 << 16
+_FAN = 64
 
 
 def _bucketed(series: DataFrame, time: str, width: int) -> DataFrame:
@@ -27,6 +30,52 @@ def _before_bucket(buckets: DataFrame, value: str, name: str) -> DataFrame:
     return buckets.withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
 
 
+def _followed(first: Column, second: Column) -> Column:
+    """State of two stretches of a series, one after the other.
+
+    A state is the weighted mean ``m`` (null without a value), the weight ``w`` it
+    has at the end of the stretch, and the decay ``d`` over the stretch. Means and
+    weights are kept apart, so a mean outlives a weight that has died down to zero.
+    """
+    left = first["w"] * second["d"]
+    mixed = (left * first["m"] + second["w"] * second["m"]) / (left + second["w"])
+    mean = (
+        F.when(second["m"].isNull(), first["m"])
+        .when(first["m"].isNull() | (left == 0), second["m"])
+        .when(second["w"] == 0, second["m"])
+        .otherwise(mixed)
+    )
+    return F.struct(mean.alias("m"), (left + second["w"]).alias("w"), (first["d"] * second["d"]).alias("d"))
+
+
+def _nothing() -> Column:
+    return F.struct(F.lit(None).cast("double").alias("m"), F.lit(0.0).alias("w"), F.lit(1.0).alias("d"))
+
+
+def _states_before(states: DataFrame) -> DataFrame:
+    """(block, before) for (block, state): the state of all blocks before each.
+
+    A prefix scan by levels. Some neighbouring blocks are scanned in one row and
+    make one state of the next level, which is scanned the same way. The parts
+    of a level are spread over tasks; the last level is one row.
+    """
+    members = F.array_sort(F.collect_list(F.struct("block", "state")))
+    parts = cut(states.groupBy(F.floor(F.col("block") / _FAN).alias("part")).agg(members.alias("members")))
+    start = F.struct(F.array().cast("array<struct<block: bigint, before: struct<m: double, w: double, d: double>>>").alias("seen"), _nothing().alias("state"))
+
+    def step(known: Column, member: Column) -> Column:
+        here = F.struct(member["block"].alias("block"), known["state"].alias("before"))
+        return F.struct(F.concat(known["seen"], F.array(here)).alias("seen"), _followed(known["state"], member["state"]).alias("state"))
+
+    scanned = parts.select("part", F.aggregate("members", start, step).alias("s"))
+    inner = scanned.select("part", F.inline("s.seen"))
+    if parts.limit(2).count() < 2:
+        return inner.select("block", "before")
+    above = _states_before(cut(scanned.select(F.col("part").alias("block"), F.col("s.state").alias("state"))))
+    above = above.select(F.col("block").alias("part"), F.col("before").alias("above"))
+    return inner.join(above, "part").select("block", _followed(F.col("above"), F.col("before")).alias("before"))
+
+
 def ewm(
     series: DataFrame,
     time: str,
@@ -36,39 +85,37 @@ def ewm(
 ) -> DataFrame:
     """Exponentially weighted mean with adjusted weights, in time order.
 
-    The weights run over row positions. Positions are cut into blocks that are
-    averaged side by side; each block also gets the rows just before it, as
-    many as still carry weight at double precision. ``time`` must be unique.
+    The weights run over row positions. Nulls and NaN have a position but no
+    value: they repeat the mean so far, which is null before the first value.
+    Positions are cut into blocks that are averaged side by side; a prefix scan
+    over the blocks brings each the state of all rows before it, so no history is
+    lost. ``time`` must be unique; ``alpha`` is above 0 and at most 1.
     """
-    decay = -math.log1p(-alpha)
-    history = math.ceil(_NEGLIGIBLE / decay)
-    block = max(math.floor(_SAFE_EXPONENT / decay) - history, history)
-
-    rows = _bucketed(series.select(time, value), time, bucket_seconds)
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
+    keep = 1 - alpha
+    decay = -math.log1p(-alpha) if alpha < 1 else math.inf
+    block = max(1, min(int(_SAFE_EXPONENT / decay), _MOST_BLOCK))
+
+    number = F.col(value).cast("double")
+    rows = _bucketed(series.select(time, value, F.when(~F.isnan(number), number).alias("_x")), time, bucket_seconds)
     sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_size"))
     offsets = _before_bucket(sizes, "_size", "_offset").select("_bucket", "_offset")
     in_bucket = Window.partitionBy("_bucket").orderBy(time)
-    placed = rows.join(offsets, "_bucket").withColumn(
-        "_pos", F.col("_offset") + F.row_number().over(in_bucket) - 1
-    )
-    own = F.floor(F.col("_pos") / block)
-    needed_next = F.col("_pos") % block >= block - history
-    placed = placed.withColumn("_own", own).withColumn(
-        "_block",
-        F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))),
-    )
+    position = F.col("_offset") + F.row_number().over(in_bucket) - 1
+    placed = rows.join(offsets, "_bucket").withColumn("_pos", position)
+    placed = cut(placed.select(time, value, "_x", "_pos").withColumn("block", F.floor(F.col("_pos") / block)))
     # sum x_j q^(i-j) = q^i * sum x_j q^-j, with exponents kept small per block.
-    step = F.col("_pos") - F.col("_block") * block
-    grown = F.exp(step * decay)
-    so_far = Window.partitionBy("_block").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    mean = F.sum(F.col(value) * grown).over(so_far) / F.sum(grown).over(so_far)
-    return (
-        placed.withColumn("moving_average", mean)
-        .where(F.col("_block") == F.col("_own"))
-        .select(time, value, "moving_average")
-    )
+    step = F.col("_pos") - F.col("block") * block
+    grown = F.exp(step * decay) if block > 1 else F.lit(1.0)
+    so_far = Window.partitionBy("block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    top = F.sum(F.col("_x") * grown).over(so_far)
+    weight = F.sum(F.when(F.col("_x").isNotNull(), grown).otherwise(0.0)).over(so_far)
+    local = F.struct((top / F.when(weight > 0, weight)).alias("m"), (weight / grown).alias("w"), F.pow(F.lit(keep), step + 1).alias("d"))
+    averaged = placed.withColumn("state", local)
+    states = cut(averaged.groupBy("block").agg(F.max_by("state", "_pos").alias("state")))
+    met = averaged.join(_states_before(states), "block")
+    return met.select(time, value, _followed(F.col("before"), F.col("state"))["m"].alias("moving_average"))
 
 
 def quantile_point(
