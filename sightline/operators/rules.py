@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.scoring import LAST_SCORE_HIGH, LAST_SCORE_LOW
+from sightline.session import cut
+
+# Items in a set at most, unless asked for otherwise; the usual default of rule miners.
+MOST_ITEMS = 10
 
 
 @dataclass(frozen=True)
@@ -17,6 +23,9 @@ class RuleSettings:
     confidence: float
     min_length: int = 2
     consequents: tuple[str, ...] = ()
+    max_length: int = MOST_ITEMS
+    # Whether baskets hold many items, which decides on the miner.
+    wide: bool = False
 
 
 # Thresholds of the mining runs and the consequents they allow.
@@ -33,42 +42,105 @@ SETTINGS = {
     "default": RuleSettings(0.1, 0.8, 1),
     "broad": RuleSettings(0.10, 0.80, 2),
     "threat": RuleSettings(0.000005, 0.6, 2, THREAT_CONSEQUENTS),
-    "last_score": RuleSettings(0.0001, 0.7, 2, (LAST_SCORE_HIGH, LAST_SCORE_LOW)),
-    "last_score_common": RuleSettings(0.01, 0.7, 2, (LAST_SCORE_HIGH, LAST_SCORE_LOW)),
+    "last_score": RuleSettings(0.0001, 0.7, 2, (LAST_SCORE_HIGH, LAST_SCORE_LOW), wide=True),
+    "last_score_common": RuleSettings(0.01, 0.7, 2, (LAST_SCORE_HIGH, LAST_SCORE_LOW), wide=True),
 }
 
 
-def fit(baskets: DataFrame, support: float, confidence: float = 0.0) -> FPGrowthModel:
-    growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence)
-    return growth.fit(baskets)
+def distinct_baskets(baskets: DataFrame) -> DataFrame:
+    """(items, w): each set of items once, sorted, with the number of baskets that are it.
+
+    Counted before the shuffle, so of categorical baskets only the few distinct
+    ones move. A null list is an empty basket; null and repeated items do not count.
+    """
+    empty = F.array().cast("array<string>")
+    items = F.array_sort(F.array_distinct(F.array_compact(F.coalesce("items", empty))))
+    return baskets.select(items.alias("items")).groupBy("items").agg(F.count("*").alias("w"))
+
 
+def grown_itemsets(baskets: DataFrame, support: float, max_length: int = MOST_ITEMS) -> DataFrame:
+    """The same as ``frequent_itemsets``, by FP-growth.
 
-def frequent_itemsets(baskets: DataFrame, support: float) -> DataFrame:
-    """Itemsets with their counts; items inside a set are sorted."""
-    found = fit(baskets, support).freqItemsets
+    For wide baskets with long frequent sets, whose subsets the other would write
+    out basket by basket.
+    """
+    found = FPGrowth(itemsCol="items", minSupport=support).fit(baskets.select("items")).freqItemsets
+    found = found.where(F.size("items") <= max_length)
     return found.select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
 
 
-def restrict(
-    rules: DataFrame, min_length: int = 1, consequents: tuple[str, ...] = ()
-) -> DataFrame:
-    kept = rules.where(F.size("antecedent") + 1 >= min_length)
-    if consequents:
-        kept = kept.where(F.col("consequent")[0].isin(*consequents))
-    return kept
+def frequent_itemsets(baskets: DataFrame, support: float, max_length: int = MOST_ITEMS) -> DataFrame:
+    """Itemsets of at most ``max_length`` items with their counts; items inside a set are sorted.
+
+    Level by level over the distinct baskets: a frequent set meets, in each basket
+    that holds it, the later items of that basket, and counts are summed by set.
+    Items and then sets that are not frequent leave before the next level. For
+    baskets of few items or sets of small length; see ``grown_itemsets`` for others.
+    """
+    counted = cut(distinct_baskets(baskets))
+    total = counted.agg(F.sum("w")).first()[0] or 0
+    least = max(1, math.ceil(support * total))
+    single = counted.select(F.explode("items").alias("item"), "w").groupBy("item").agg(F.sum("w").alias("n"))
+    single = cut(single.where(F.col("n") >= least))
+    numbered = counted.select("items", "w", F.monotonically_increasing_id().alias("id"))
+    met = cut(numbered).select("id", "w", F.explode("items").alias("item")).join(single.select("item"), "item")
+    kept = met.groupBy("id", "w").agg(F.array_sort(F.collect_list("item")).alias("rest"))
+    # Without rare items, more baskets are equal.
+    kept = kept.groupBy("rest").agg(F.sum("w").alias("w"))
+    held = cut(kept.select(F.array().cast("array<string>").alias("items"), "rest", "w"))
+    levels = [single.select(F.array("item").alias("items"), "n")]
+    for length in range(1, max_length):
+        longer = F.transform(
+            "rest",
+            lambda x, i: F.struct(
+                F.concat("items", F.array(x)).alias("items"), F.slice("rest", i + 2, F.size("rest")).alias("rest")
+            ),
+        )
+        found = held.select("w", F.inline(longer))
+        # A set that ends its basket counts at this level but has no longer ones.
+        if length == 1:
+            held = cut(found.where(F.size("rest") > 0).groupBy("items", "rest").agg(F.sum("w").alias("w")))
+            continue
+        sums = cut(found.groupBy("items").agg(F.sum("w").alias("n")).where(F.col("n") >= least))
+        if sums.isEmpty():
+            return union(levels)
+        levels.append(sums)
+        held = cut(found.where(F.size("rest") > 0).join(sums.select("items"), "items", "left_semi"))
+    if max_length > 1:
+        found = held.select("w", F.explode(F.transform("rest", lambda x: F.concat("items", F.array(x)))).alias("items"))
+        levels.append(found.groupBy("items").agg(F.sum("w").alias("n")).where(F.col("n") >= least))
+    return union(levels)
+
+
+def union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def mine(baskets: DataFrame, settings: RuleSettings) -> DataFrame:
-    """Rules (antecedent, consequent, confidence, lift, support) with one consequent each."""
-    model = fit(baskets, settings.support, settings.confidence)
-    rules = restrict(model.associationRules, settings.min_length, settings.consequents)
-    return rules.select(
-        F.array_sort("antecedent").alias("antecedent"),
-        "consequent",
-        "confidence",
-        "lift",
-        "support",
+    """Rules (antecedent, consequent, confidence, lift, support) with one consequent each.
+
+    A single item is a rule from the empty antecedent, with its share as
+    confidence; a minimum length of two leaves these out.
+    """
+    miner = grown_itemsets if settings.wide else frequent_itemsets
+    sets = cut(miner(baskets, settings.support, settings.max_length))
+    total = baskets.agg(F.count("*").alias("n")).scalar()
+    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("c"), F.col("n").alias("n_rhs"))
+    sided = sets.where(F.size("items") >= settings.min_length).select("items", "n", F.explode("items").alias("c"))
+    if settings.consequents:
+        sided = sided.where(F.col("c").isin(*settings.consequents))
+    sided = sided.withColumn("antecedent", F.array_remove("items", F.col("c")))
+    lhs = sets.select(F.col("items").alias("antecedent"), F.col("n").alias("n_lhs"))
+    met = sided.join(single, "c").join(lhs, "antecedent", "left")
+    confidence = F.col("n") / F.when(F.size("antecedent") == 0, total).otherwise(F.col("n_lhs"))
+    rules = met.select(
+        "antecedent",
+        F.array("c").alias("consequent"),
+        confidence.alias("confidence"),
+        (confidence / (F.col("n_rhs") / total)).alias("lift"),
+        (F.col("n") / total).alias("support"),
     )
+    return rules.where(F.col("confidence") >= settings.confidence)
 
 
 def one_item_rules(baskets: DataFrame, consequents: tuple[str, ...]) -> DataFrame:

@@ -511,6 +511,14 @@ def rules_cte(support: float, confidence: float) -> str:
   WHERE len(s.items) >= 2 AND s.n / a.n >= {confidence})"""
 
 
+def single_rules(support: float, confidence: float) -> str:
+    """Rules from the empty antecedent."""
+    return f"""SELECT '' AS antecedent, items[1] AS consequent, round(n / t, 6) AS support,
+  round(n / t, 6) AS confidence, 1.0::DOUBLE AS lift
+FROM sets JOIN (SELECT count(*) AS t FROM items) ON n >= ceil({support!r} * t) AND n / t >= {confidence}
+WHERE len(items) = 1"""
+
+
 MEASURES = """round(support, 6) AS support, round(confidence, 6) AS confidence,
        round(lift, 6) AS lift"""
 BROAD = (ITEMS, SETS, rules_cte(BROAD_SUPPORT, BROAD_CONFIDENCE))
@@ -550,13 +558,19 @@ on_sightings(
     "SELECT CAST(length AS INTEGER) AS length, count(*) AS n FROM rules GROUP BY 1",
     *BROAD,
 )
-on_sightings(
-    "rules_defaults",
-    f"SELECT antecedent, consequent, {MEASURES} FROM rules",
-    ITEMS,
-    SETS,
-    rules_cte(0.1, 0.8),
-)
+for _name, _support, _confidence, _least in (
+    ("rules_defaults", 0.1, 0.8, 1),
+    ("rules_broad", 0.1, 0.8, 2),
+    ("rules_any_length", BROAD_SUPPORT, BROAD_CONFIDENCE, 1),
+):
+    _single = f"\nUNION ALL {single_rules(_support, _confidence)}" if _least == 1 else ""
+    on_sightings(
+        _name,
+        f"SELECT antecedent, consequent, {MEASURES} FROM rules{_single}",
+        ITEMS,
+        SETS,
+        rules_cte(_support, _confidence),
+    )
 
 # -- graph -------------------------------------------------------------------
 

@@ -385,8 +385,8 @@ def _joined(column: str) -> F.Column:
 @query
 def itemsets_pairs(spark, folder):
     """Frequent single items and pairs of the customer baskets."""
-    found = rules.frequent_itemsets(_customer_baskets(spark, folder), PAIR_SUPPORT)
-    return found.where(F.size("items") <= 2).select(_joined("items"), "n")
+    found = rules.frequent_itemsets(_customer_baskets(spark, folder), PAIR_SUPPORT, max_length=2)
+    return found.select(_joined("items"), "n")
 
 
 @query
@@ -453,6 +453,18 @@ def rules_defaults(spark, folder):
     return _rounded(rules.mine(_sighting_baskets(spark, folder), rules.SETTINGS["default"]))
 
 
+@query
+def rules_broad(spark, folder):
+    return _rounded(rules.mine(_sighting_baskets(spark, folder), rules.SETTINGS["broad"]))
+
+
+@query
+def rules_any_length(spark, folder):
+    """Rules at the broad thresholds and lower, single items from the empty antecedent included."""
+    settings = rules.RuleSettings(BROAD_SUPPORT, BROAD_CONFIDENCE, 1)
+    return _rounded(rules.mine(_sighting_baskets(spark, folder), settings))
+
+
 @query
 def rules_last_score(spark, folder):
     settings = rules.SETTINGS["last_score_common"]

@@ -53,6 +53,33 @@ def test_rules_match_brute_force(spark, basket_list):
     assert sum(r["n"] for r in rules.lengths(mined).collect()) == len(want)
 
 
+def test_rules_from_the_empty_antecedent(spark, basket_list):
+    rows = [(b,) for b in basket_list] + [([],), (None,), (["yes", "yes", None],)]
+    frame = spark.createDataFrame(rows, "items array<string>")
+    clean = [tuple(sorted({i for i in b or [] if i})) for (b,) in rows]
+    for wide in (False, True):
+        if wide:
+            frame = spark.createDataFrame([(list(b),) for b in clean], "items array<string>")
+        got = rules.mine(frame, rules.RuleSettings(0.05, 0.3, 1, wide=wide)).collect()
+        single = {r["consequent"][0]: r for r in got if not r["antecedent"]}
+        shares = {i: sum(i in b for b in clean) / len(clean) for i in {i for b in clean for i in b}}
+        assert set(single) == {i for i, s in shares.items() if s >= 0.3}
+        for i, r in single.items():
+            assert (r["support"], r["confidence"], r["lift"]) == pytest.approx((shares[i], shares[i], 1.0))
+        want = brute_force(clean, 0.05, 0.3)
+        assert {(tuple(r["antecedent"]), r["consequent"][0]) for r in got if r["antecedent"]} == set(want)
+    assert rules.mine(frame.limit(0), rules.SETTINGS["default"]).collect() == []
+
+
+def test_low_support_takes_every_set(spark, basket_list):
+    frame = spark.createDataFrame([(b,) for b in basket_list], "items array<string>")
+    settings = rules.RuleSettings(0.0001, 0.7, 2, ("yes", "no"))
+    got = {(tuple(r["antecedent"]), r["consequent"][0]) for r in rules.mine(frame, settings).collect()}
+    assert got == set(brute_force(basket_list, 0.0001, 0.7, ("yes", "no")))
+    pairs = rules.frequent_itemsets(frame, 0.05, max_length=2)
+    assert {r["n"] for r in pairs.collect()} and all(len(r["items"]) <= 2 for r in pairs.collect())
+
+
 def test_one_item_rules_match_brute_force(spark, basket_list):
     frame = spark.createDataFrame([(b,) for b in basket_list], "items array<string>")
     got = {
