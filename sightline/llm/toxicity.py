@@ -6,6 +6,10 @@ with both, and the document is judged by how much shorter its windows get with
 the toxic one. Thresholds are calibrated on labelled documents that the
 dictionaries have not seen.
 
+The labelled sample stays in Spark: codes are counted there by class and fold,
+and only the few that enter a dictionary, and the features of labelled documents,
+reach the driver.
+
 Windows are written as one 8-byte code for every six bytes of lower-cased text
 with the spaces at word ends. A shared short string is then one long match, where
 zstandard's plain matching would save a byte or none.
@@ -17,7 +21,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.common import whole_text
 from sightline.llm.kernels import LOWER, SPACES, grams
+from sightline.llm.sums import lists, matrix
 from sightline.session import cut
 
 GRAM = 6
@@ -33,6 +37,9 @@ LEVEL = 1
 # Bounds on the labelled documents and bytes that the classifier is fitted on.
 FIT_DOCUMENTS = 8_000
 FIT_BYTES = 28_000_000
+FOLDS = 3
+# Of the commonest codes of ordinary text, so many are looked at.
+COMMON_CODES = 1024
 # A code tells toxic text if so large a share of toxic documents has it, and is
 # so many times as frequent there as among ordinary documents.
 LEAST_SHARE = 0.015
@@ -56,32 +63,21 @@ def _dictionary(content: np.ndarray) -> bytes:
     return content.tobytes() or bytes(64)
 
 
-def _shares(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found = [np.unique(p) for p in parts]
-    return np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-
-
-def _looked_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, counts[at], 0)
-
+def train(counts: np.ndarray, documents: np.ndarray) -> tuple[bytes, bytes]:
+    """Contents of the toxic and the ordinary dictionary.
 
-def train(toxic: list[np.ndarray], ordinary: list[np.ndarray]) -> tuple[bytes, bytes]:
-    """Contents of the toxic and the ordinary dictionary."""
-    keys, seen = _shares(toxic)
-    others, times = _shares(ordinary)
-    ours, theirs = seen / max(1, len(toxic)), _looked_up(others, times, keys)
-    enough = seen >= max(3, LEAST_SHARE * len(toxic))
-    tells = enough & (ours > LEAST_RATIO * (theirs + 0.5) / max(1, len(ordinary)))
-    order = np.argsort(seen[tells], kind="stable")
-    back = _looked_up(keys, seen, others) / max(1, len(toxic))
-    common = times / max(1, len(ordinary)) >= back
-    by_use = np.argsort(times[common], kind="stable")
+    ``counts`` has a row for each code: the code, and the numbers of ordinary and
+    of toxic documents with it. ``documents`` has the numbers of documents.
+    """
+    keys, others, ours = counts
+    ordinary, toxic = np.maximum(1, documents)
+    tells = (ours >= max(3, LEAST_SHARE * toxic)) & (ours / toxic > LEAST_RATIO * (others + 0.5) / ordinary)
+    order = np.lexsort((keys[tells], ours[tells]))
+    common = (others > 0) & (others / ordinary >= ours / toxic)
+    by_use = np.lexsort((keys[common], others[common]))
     return (
-        _dictionary(keys[tells][order][-DICTIONARY_CODES:]),
-        _dictionary(others[common][by_use][-ORDINARY_CODES:]),
+        _dictionary(keys[tells][order][-DICTIONARY_CODES:].view(np.uint64)),
+        _dictionary(keys[common][by_use][-ORDINARY_CODES:].view(np.uint64)),
     )
 
 
@@ -141,36 +137,73 @@ def probability(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(labelled: pd.DataFrame) -> dict:
+def _counted(sample: DataFrame) -> DataFrame:
+    """code and the number of documents with it: n0_f of ordinary, n1_f of toxic ones in fold f."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = batch.column("toxic").to_numpy() * FOLDS + batch.column("fold").to_numpy()
+            for kind in np.unique(kinds):
+                found = [np.unique(codes(batch.column("text")[int(k)].as_py())) for k in np.flatnonzero(kinds == kind)]
+                code, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(code.view(np.int64)), pa.array(np.full(len(code), kind), pa.int32()), pa.array(n, pa.int64())],
+                    ["code", "kind", "n"],
+                )
+
+    found = sample.mapInArrow(run, "code long, kind int, n long").groupBy("code")
+    return found.agg(
+        *[F.sum(F.when(F.col("kind") == c * FOLDS + f, F.col("n")).otherwise(0)).alias(f"n{c}_{f}") for c in (0, 1) for f in range(FOLDS)]
+    )
+
+
+def fit(sample: DataFrame) -> dict:
     """Fit dictionaries and calibration on rows (doc_id, text, toxic, weight).
 
     ``weight`` is the number of labelled rows that a row stands for.
 
-    Dictionaries for the calibration leave out every third document, which the
+    Dictionaries for the calibration leave out one fold of documents, which the
     calibration then uses; the final ones see all. Without both classes every
     score is the share of toxic rows.
     """
-    labelled = labelled.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
-    y = labelled["toxic"].to_numpy(np.float64)
-    if not len(y) or y.min() == y.max():
-        return {"constant": float(y.mean()) if len(y) else 0.0}
-    found = [codes(t) for t in labelled["text"]]
-    rows, targets, weights = [], [], []
-    for fold in range(3):
-        seen = np.arange(len(y)) % 3 != fold
-        toxic, ordinary = train(
-            [f for f, s, t in zip(found, seen, y, strict=True) if s and t == 1],
-            [f for f, s, t in zip(found, seen, y, strict=True) if s and t == 0],
-        )
-        for f, s, t, w in zip(found, seen, y, labelled["weight"], strict=True):
-            if not s:
-                weights.append(w)
-                rows.append(features(gains(f, toxic, ordinary)))
-                targets.append(t)
-    model = calibrate(np.array(rows), np.array(targets), np.array(weights))
-    model["toxic"], model["ordinary"] = train(
-        [f for f, t in zip(found, y, strict=True) if t == 1], [f for f, t in zip(found, y, strict=True) if t == 0]
-    )
+    sample = sample.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLDS)).cast("int"))
+    documents = np.zeros((2, FOLDS), np.int64)
+    for r in sample.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect():
+        documents[r["toxic"], r["fold"]] = r["n"]
+    if not documents.sum(axis=1).all():
+        return {"constant": float(documents[1].sum() > 0)}
+    counted = cut(_counted(sample))
+    ordinary, toxic = (sum(F.col(f"n{c}_{f}") for f in range(FOLDS)) for c in (0, 1))
+    totals = [int(v) for v in documents.sum(axis=1)]
+    # What can enter a dictionary: at most bytes of the sample over the least count, and COMMON_CODES.
+    least = max(3, LEAST_SHARE * (totals[1] - documents[1].max()))
+    telling = counted.where((toxic >= least) & (toxic / totals[1] > ordinary / totals[0]))
+    common = counted.where(ordinary / totals[0] >= toxic / totals[1]).orderBy(ordinary.desc(), "code").limit(COMMON_CODES)
+    rows = telling.unionByName(common).toArrow()
+    keys = rows.column("code").to_numpy()
+    counts = np.array([[rows.column(f"n{c}_{f}").to_numpy() for f in range(FOLDS)] for c in (0, 1)])
+
+    def made(seen: list[int]) -> tuple[bytes, bytes]:
+        return train((keys, *counts[:, seen].sum(axis=1)), documents[:, seen].sum(axis=1))
+
+    folds = [made([f for f in range(FOLDS) if f != left]) for left in range(FOLDS)]
+
+    def seen_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                features(gains(codes(t.as_py()), *folds[f])) for t, f in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True)
+            ]
+            if rows:
+                yield pa.RecordBatch.from_arrays([lists(np.array(rows)), batch.column("toxic"), batch.column("weight")], ["x", "toxic", "weight"])
+
+    # FEATURES numbers for each of at most FIT_DOCUMENTS documents.
+    seen = sample.mapInArrow(seen_by, "x array<double>, toxic int, weight double").toArrow()
+    x = matrix(seen.column("x"), FEATURES)
+    y, weight = (seen.column(c).to_numpy().astype(np.float64) for c in ("toxic", "weight"))
+    # In one order, so that sums do not depend on that of the tasks.
+    order = np.lexsort((weight, y, *x.T))
+    model = calibrate(x[order], y[order], weight[order])
+    model["toxic"], model["ordinary"] = made(list(range(FOLDS)))
     return model
 
 
@@ -178,13 +211,14 @@ def held_out(doc_id, modulus: int = 4, remainder: int = 2):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, text_column: str, id_column: str) -> pd.DataFrame:
-    """At most ``FIT_DOCUMENTS`` labelled documents, both classes, within ``FIT_BYTES``.
+def labelled_sample(docs: DataFrame, labels: DataFrame, text_column: str, id_column: str) -> DataFrame:
+    """(doc_id, text, toxic, weight) of at most ``FIT_DOCUMENTS`` labelled documents within ``FIT_BYTES``.
 
     A document is taken by a hash of its id, so the sample does not depend on the
-    order of rows. Rows without label or id are left out.
+    order of rows. Rows without label or id are left out; of several texts with one
+    id the least counts.
     """
-    marked = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marked = marked.where(~held_out("doc_id"))
     half = FIT_DOCUMENTS // 2
     spread = F.xxhash64("doc_id")
@@ -192,14 +226,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text_column: str, id_col
     chosen = cut(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
     # At most FIT_DOCUMENTS rows of two numbers.
-    met = cut(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]))
+    met = cut(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
     total = met.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if total > FIT_BYTES:
         met = met.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < int((1 << 20) * FIT_BYTES / total))
-    sample = met.toPandas()
-    counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    sample["weight"] = sample["toxic"].map(counts) / sample.groupby("toxic")["doc_id"].transform("count")
-    return sample
+    known = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    taken = {r["toxic"]: r["n"] for r in met.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = [float(known.get(c, 0) / max(1, taken.get(c, 0))) for c in (0, 1)]
+    # Spread over tasks by bytes, as codes take eight times those of the text.
+    tasks = max(1, min(total, FIT_BYTES) // 1_000_000)
+    weight = F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])
+    return cut(met.withColumn("weight", weight).repartition(tasks, "doc_id"))
 
 
 def score(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
