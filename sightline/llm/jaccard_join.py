@@ -38,6 +38,8 @@ ENUMERATED = 5
 SPARE = 0.22
 # Least number of buckets of a sketch, one byte each.
 SKETCH = 128
+# Sets in one block of a group whose components are compared with each other.
+BLOCK = 1024
 _ONE = np.ones(1, np.uint64)
 
 
@@ -221,6 +223,58 @@ def _groups(table: pa.Table) -> pa.Table:
     )
 
 
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of one length as rows, folded to ``size`` buckets."""
+    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1, size)
+    return rows.sum(axis=1, dtype=np.int32)
+
+
+def _apart(table: pa.Table) -> pa.Table:
+    """The pairs of one block of a group that lie in different components and that sketches do not rule out."""
+    key, n, root, side = (table.column(c).to_numpy() for c in ("key", "n", "root", "side"))
+    sketches = np.array(table.column("sketch").to_pylist(), object)
+    widths = np.array([len(x) for x in sketches], np.int64)
+    first, second = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
+    out = []
+    for p in np.unique(widths[first]):
+        for q in np.unique(widths[second]):
+            left, right = first[widths[first] == p], second[widths[second] == q]
+            size = min(p, q)
+            a, b = _folded(list(sketches[left]), size), _folded(list(sketches[right]), size)
+            for at, i in enumerate(left):
+                j = np.flatnonzero((root[right] != root[i]) & (100 * np.minimum(n[right], n[i]) >= PERCENT * np.maximum(n[right], n[i])))
+                differ = np.abs(b[j] - a[at]).sum(axis=1)
+                j = right[j[differ * (100 + PERCENT) <= (n[right[j]] + n[i]) * (100 - PERCENT)]]
+                out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
+    empty = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    a, b = (np.concatenate(c) for c in zip(*(out or empty), strict=True))
+    return pa.table({"a": a, "b": b})
+
+
+def _across(mixed: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) across the components of each group that may be similar.
+
+    ``mixed`` has group, key, n and root. A group is cut into blocks of bounded
+    size and every two blocks meet in a task of their own, so a member is sent
+    once for each block and only pairs that sizes and sketches leave are written.
+    """
+    sized = mixed.groupBy("group").agg(F.count("*").alias("m"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    met = mixed.join(sized, "group").join(members.select("key", "sketch"), "key")
+    met = met.withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    # Side 0 and 2 for the first and second of two blocks, 1 where both are one.
+    pairs = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda k: F.struct(
+            F.least(k, F.col("own")).alias("x"),
+            F.greatest(k, F.col("own")).alias("y"),
+            F.when(k == F.col("own"), 1).when(F.col("own") < k, 0).otherwise(2).alias("side"),
+        ),
+    )
+    sent = met.select("group", "key", "n", "root", "sketch", F.inline(pairs))
+    return sent.groupBy("group", "x", "y").applyInArrow(_apart, "a long, b long").distinct()
+
+
 def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and sketches do not rule out."""
     left = members.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -322,13 +376,11 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     star = groups.join(centres, "group").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct()
     links = cut(_verified(star, members, texts, keyed))
     roots = _components(links)
-    # Groups that still hold several components: every pair across them, smaller key first.
+    # Groups that still hold several components are compared across these, smaller key first.
     placed = cut(groups.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
     mixed = placed.groupBy("group").agg(F.min("root").alias("_first"), F.max("root").alias("_last"))
     left = cut(placed.join(mixed.where("_first <> _last"), "group").select("group", "key", "n", "root").distinct())
-    other = left.select("group", F.col("key").alias("b"), F.col("n").alias("_n"), F.col("root").alias("_root"))
-    across = left.join(other, "group").where((F.col("key") < F.col("b")) & (F.col("root") != F.col("_root")) & near)
-    across = across.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
+    across = _across(left, members).join(star, ["a", "b"], "left_anti")
     more = cut(_verified(across, members, texts, keyed))
     if not more.isEmpty():
         roots = _components(links.unionByName(more))
