@@ -23,10 +23,13 @@ from sightline.session import cut
 
 MAX_TOKENS = 2048
 END_ID = 1
-# Encoded words that a Python worker remembers before it starts anew.
-REMEMBERED = 400_000
+# Encoded pieces, and runs of pieces, that a Python worker remembers before it starts anew.
+REMEMBERED = 600_000
+REMEMBERED_RUNS = 250_000
 # How this kind of tokenizer splits text; a fixed value of the public format.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# White space of that pattern but the plain space, a fixed value of Unicode.
+WHITE = "\\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE_FIELDS = [
     ("start", pa.int64()),
     ("length", pa.int64()),
@@ -51,9 +54,31 @@ class _Words(dict):
         return ids
 
 
+class _Chunks(dict):
+    """Ids of each run without white space, after a space where ``space`` is one.
+
+    No piece reaches over the end of such a run, so its ids are those it has in
+    any text.
+    """
+
+    def __init__(self, split, known: _Words, space: str):
+        super().__init__()
+        self.split, self.known, self.space = split, known, space
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= REMEMBERED_RUNS:
+            self.clear()
+        ids = b"".join(map(self.known.__getitem__, self.split(self.space + chunk)))
+        if len(chunk) <= 64:
+            self[chunk] = ids
+        return ids
+
+
 @cache
 def _encoder(source: str):
     """A function from text to ids as bytes; each worker builds it once."""
+    import re
+
     import regex
     from tokenizers import Tokenizer
 
@@ -65,14 +90,34 @@ def _encoder(source: str):
     special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
     parts = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
 
+    plain, spaced = _Chunks(split, known, ""), _Chunks(split, known, " ")
+    runs = re.compile(f"([ {WHITE}]{{2,}}|[{WHITE}])").split
+
+    def coded(text: str) -> bytes:
+        out, first = [], plain
+        found = runs(text)
+        for k in range(0, len(found), 2):
+            if found[k]:
+                words = found[k].split(" ")
+                out.append(first[words[0]])
+                out += map(spaced.__getitem__, words[1:])
+            if k + 1 < len(found):
+                # The last space of a run goes to what follows; any other last character stands alone.
+                run = found[k + 1]
+                last = k + 2 == len(found) - 1 and not found[-1]
+                first = spaced if run[-1] == " " and not last else plain
+                if last:
+                    out.append(known[run])
+                else:
+                    out += [known[run[:-1]]] if run[:-1] else []
+                    out += [known[run[-1]]] if first is plain else []
+        return b"".join(out)
+
     def encode(text: str) -> bytes:
         if parts is None or not any(s in text for s in special):
-            return b"".join(map(known.__getitem__, split(text)))
+            return coded(text)
         # Special tokens stand for themselves; what lies between is split apart from them.
-        out = []
-        for k, part in enumerate(parts(text)):
-            out += [known[part]] if k % 2 else map(known.__getitem__, split(part))
-        return b"".join(out)
+        return b"".join(known[part] if k % 2 else coded(part) for k, part in enumerate(parts(text)))
 
     return encode
 
