@@ -6,13 +6,12 @@ import json
 import os
 from functools import reduce
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Words are runs of anything but ASCII white space.
 SPACE = "[\\x20\\x09-\\x0D]+"
-# The tokenizer files are looked up here unless the caller names a folder.
-TOKENIZER_FOLDER = os.environ.get("SIGHTLINE_TOKENIZERS", "/opt/tokenizers")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +57,12 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def tokenizer_path(name: str, folder: str | None = None) -> str:
+    """A tokenizer file in ``folder``, or where the package of public tokenizers has it."""
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+
+
 def tokenizer_text(name: str, folder: str | None = None) -> str:
     """A tokenizer file as text; it travels with the tasks, which need no file then."""
-    with open(os.path.join(folder or TOKENIZER_FOLDER, name), encoding="utf-8") as file:
+    with open(tokenizer_path(name, folder), encoding="utf-8") as file:
         return json.dumps(json.load(file), ensure_ascii=False)

@@ -22,7 +22,7 @@ from sightline.llm import (
     toxicity,
     word_table,
 )
-from sightline.llm.common import TOKENIZER_FOLDER
+from sightline.llm.common import tokenizer_path
 
 DOCS = T.StructType(
     [
@@ -147,7 +147,7 @@ def test_quality_rules_keep_what_they_judge_well(docs, none):
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(f"{TOKENIZER_FOLDER}/byte_bpe_50k.json")
+    coder = Tokenizer.from_file(str(tokenizer_path("byte_bpe_50k.json")))
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in packing.pack(docs).collect():
         by_doc[r["doc_id"]].append(r)
@@ -171,7 +171,7 @@ def test_packing_round_trip(docs, texts):
 def test_word_table_is_the_tokenizer(docs, texts):
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(f"{TOKENIZER_FOLDER}/word_bpe_49k.json")
+    coder = Tokenizer.from_file(str(tokenizer_path("word_bpe_49k.json")))
     coder.no_truncation()
     coder.no_padding()
     got = {r["doc_id"]: r for r in word_table.coded(docs).collect()}
