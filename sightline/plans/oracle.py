@@ -688,20 +688,20 @@ def rank_step(base: str) -> str:
 
 on_sightings(
     "graph_pagerank",
-    "SELECT id, round(rank, 6) AS pagerank FROM r5",
+    "SELECT id, round(rank, 6) AS pagerank FROM r20",
     V1,
     E1,
     DEGREE,
-    *rounds("SELECT id, 1.0::DOUBLE AS rank FROM v1", rank_step("1.0::DOUBLE"), 5),
+    *rounds("SELECT id, 1.0::DOUBLE AS rank FROM v1", rank_step("1.0::DOUBLE"), 20),
 )
 _SOURCE = "(CASE WHEN v1.id = 'cust_01' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
 on_sightings(
     "graph_pagerank_personal",
-    "SELECT id, round(rank, 6) AS pagerank FROM r4",
+    "SELECT id, round(rank, 6) AS pagerank FROM r20",
     V1,
     E1,
     DEGREE,
-    *rounds(f"SELECT id, {_SOURCE} AS rank FROM v1", rank_step(_SOURCE), 4),
+    *rounds(f"SELECT id, {_SOURCE} AS rank FROM v1", rank_step(_SOURCE), 20),
 )
 ORACLES["graph_shortest_paths"] = chain(
     E2,

@@ -563,13 +563,13 @@ def graph_lpa(spark, folder):
 
 @query
 def graph_pagerank(spark, folder):
-    ranked = _sighting_graph(spark, folder).pageRank(maxIter=5)
+    ranked = _sighting_graph(spark, folder).pageRank(maxIter=20)
     return ranked.vertices.select("id", F.round("pagerank", 6).alias("pagerank"))
 
 
 @query
 def graph_pagerank_personal(spark, folder):
-    ranked = _sighting_graph(spark, folder).pageRank(sourceId="cust_01", maxIter=4)
+    ranked = _sighting_graph(spark, folder).pageRank(sourceId="cust_01", maxIter=20)
     return ranked.vertices.select("id", F.round("pagerank", 6).alias("pagerank"))
 
 
