@@ -5,12 +5,15 @@ reads, for each block, a vector of its tag path and hashed words, and decides wi
 the whole page as context whether the block is main text. Pages carry no labels,
 so the model learns from structure: on a bounded sample, blocks inside an article
 or main element count as main text unless something in between says otherwise.
+It also learns from changed copies of the sample: with comments, forms and asides put
+in that hold article text of other pages, and with the telling tags swapped for plain ones.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -20,15 +23,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.common import whole_text
+from sightline.session import cut
 
 # Pages that the model is fitted on.
 FIT_PAGES = 384
-PATH = 64
+# The sample is drawn from at least this many times as many distinct pages, where there are so many.
+SPARE = 4
+PATH = 128
 WORDS = 32
-NUMBERS = 4
+NUMBERS = 6
 INPUT = PATH + WORDS + NUMBERS
 HIDDEN = 20
-EPOCHS = 14
+EPOCHS = 10
 GROUP = 64
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -36,11 +42,21 @@ _INLINE = frozenset(
     "strike strong sub sup time tt u var".split()
 )
 _MAIN = frozenset(("article", "main"))
-_ASIDE = frozenset(
+_SET_APART = frozenset(
     "nav header footer aside form script style noscript head title menu button select textarea iframe svg template "
-    "dialog ad ads advert adverts advertisement sponsor sponsored promo sidebar comment comments reply replies "
+    "dialog".split()
+)
+_REPLIES = frozenset("comment comments reply replies".split())
+_NAMED_APART = _REPLIES | frozenset(
+    "nav navbar menu header footer aside ad ads advert adverts advertisement sponsor sponsored promo sidebar "
     "notice cookie cookies banner consent breadcrumb breadcrumbs pagination share social related newsletter".split()
 )
+# Names such as no-sidebar tell of what is elsewhere.
+_ABOUT_OTHERS = frozenset("no has with without".split())
+
+# An element of a path: its tag and the words of each of its names.
+Element = tuple[str, tuple[tuple[str, ...], ...]]
+Block = tuple[tuple[Element, ...], str, int]
 
 
 class _Blocks(HTMLParser):
@@ -48,11 +64,11 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
-        self.blocks: list[tuple[tuple[str, ...], str, int]] = []
+        self.stack: list[Element] = []
+        self.blocks: list[Block] = []
         self.text: list[str] = []
         self.linked = 0
-        self.path: tuple[str, ...] = ()
+        self.path: tuple[Element, ...] = ()
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -69,8 +85,8 @@ class _Blocks(HTMLParser):
             return
         while self.stack and (self.stack[-1][0] in _INLINE or self.stack[-1][0] == tag in ("p", "li")):
             self.stack.pop()
-        named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
-        self.stack.append((tag, tuple(re.split(r"[^a-z0-9]+", named.lower())) if named else ()))
+        named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower().split()
+        self.stack.append((tag, tuple(tuple(re.findall("[a-z0-9]+", name)) for name in named)))
 
     def handle_startendtag(self, tag, attrs):
         if tag not in _INLINE:
@@ -85,13 +101,13 @@ class _Blocks(HTMLParser):
 
     def handle_data(self, data):
         if not self.text:
-            self.path = tuple(x for name, tokens in self.stack if name not in _INLINE for x in (name, *filter(None, tokens)))
+            self.path = tuple(element for element in self.stack if element[0] not in _INLINE)
         self.text.append(data)
         if any(name == "a" for name, _ in self.stack):
             self.linked += len(data)
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
+def blocks(html: str) -> list[Block]:
     """Leaf blocks of a page; broken markup gives the blocks that can be told."""
     parser = _Blocks()
     parser.feed(html)
@@ -100,34 +116,117 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
     return parser.blocks
 
 
-def weak_label(path: tuple[str, ...]) -> int:
-    """1 for a block inside an article or main element with nothing set apart in between."""
-    last = max((k for k, x in enumerate(path) if x in _MAIN), default=-1)
-    return int(last >= 0 and not any(x in _ASIDE for x in path[last:]))
+def _named(element: Element, words: frozenset[str]) -> bool:
+    return any(name and name[0] not in _ABOUT_OTHERS and not words.isdisjoint(name) for name in element[1])
+
+
+def _apart(element: Element) -> bool:
+    return element[0] in _SET_APART or _named(element, _NAMED_APART)
+
+
+def weak_label(path: tuple[Element, ...]) -> int:
+    """1 for a block of an article or main element with nothing set apart around or inside.
+
+    The outermost such element counts, and what it is called tells nothing but that
+    it is a comment itself.
+    """
+    root = next((k for k, (tag, _) in enumerate(path) if tag in _MAIN), None)
+    if root is None or any(_named(element, _REPLIES) for element in path):
+        return 0
+    return int(not any(tag in _SET_APART for tag, _ in path[:root]) and not any(map(_apart, path[root + 1 :])))
 
 
 def _slot(word: str, size: int) -> int:
     return zlib.crc32(word.encode("utf-8", "replace")) % size
 
 
-def vectors(found: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
-    """One input row for each block: tag path, hashed words, lengths and place."""
+def vectors(found: list[Block]) -> np.ndarray:
+    """One input row for each block: tag path, hashed words of the whole block, lengths and place."""
     x = np.zeros((len(found), INPUT), np.float32)
     for k, (path, text, linked) in enumerate(found):
-        for name in path:
-            x[k, _slot(name, PATH)] = 1
-        words = text.split(" ")
-        for w in words[:200]:
-            x[k, PATH + _slot(w, WORDS)] += 1 / min(len(words), 200)
+        for tag, names in path:
+            x[k, _slot(tag, PATH)] = 1
+            for name in names:
+                for word in name[:1] if name and name[0] in _ABOUT_OTHERS else name:
+                    x[k, _slot("." + word, PATH)] = 1
+        if path:
+            x[k, _slot("/" + path[-1][0], PATH)] = 1
+        words = Counter(text.split(" "))
+        total = sum(words.values())
+        for w, n in words.items():
+            x[k, PATH + _slot(w, WORDS)] += n / total
         x[k, PATH + WORDS :] = (
             np.log1p(len(text)) / 8,
             linked / max(1, len(text)),
             k / max(1, len(found)),
-            sum(text.count(c) for c in ".,;:!?") / max(1, len(words)),
+            sum(text.count(c) for c in ".,;:!?") / total,
+            len(path) / 8,
+            any(map(_apart, path)),
         )
     return x
 
 
+# What is put into articles to learn from, as paths below the article.
+_INSERTS: tuple[tuple[Element, ...], ...] = (
+    (("section", (("comments",),)), ("div", (("comment",),)), ("p", ())),
+    (("div", (("comments",),)), ("ul", ()), ("li", (("comment", "body"),))),
+    (("div", (("comment",), ("reply",))), ("p", ())),
+    (("section", (("replies",),)), ("article", (("comment",),)), ("p", ())),
+    (("aside", ()), ("p", ())),
+    (("aside", (("related",),)), ("h3", ())),
+    (("div", (("sidebar",),)), ("p", ())),
+    (("div", (("sponsored",),)), ("p", ())),
+    (("div", (("ad",),)),),
+    (("div", (("newsletter",),)), ("p", ())),
+    (("div", (("cookie", "notice"),)), ("p", ())),
+    (("form", ()), ("p", ())),
+    (("form", ()), ("label", ())),
+    (("nav", ()), ("ul", ()), ("li", ())),
+)
+_BODIES: tuple[Element, ...] = (
+    ("div", ()),
+    ("div", (("content",),)),
+    ("div", (("post",),)),
+    ("div", (("entry", "content"),)),
+    ("div", (("story",),)),
+    ("section", ()),
+    ("main", ()),
+)
+# Names that an article may have.
+_TITLES = ("post", "entry", "hentry", "page", "full", "single", "no", "has", "text", "blog")
+
+
+def varied(page: list[Block], labels: list[int], others: list[str], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
+    """A changed copy of a page to learn from: blocks that do not belong put in, tags swapped.
+
+    ``others`` are texts of articles, so that words alone do not tell what was put in.
+    """
+    body, swapped = _BODIES[rng.integers(len(_BODIES))], rng.random() < 0.5
+    called = tuple((str(name),) for name in rng.choice(_TITLES, rng.integers(0, 4), replace=False))
+    inside = [k for k, y in enumerate(labels) if y]
+    if inside and others:
+        root = page[inside[0]][0]
+        upto = next(k for k, (tag, _) in enumerate(root) if tag in _MAIN) + 1
+        made: list[tuple[int, Block]] = []
+        for _ in range(rng.integers(1, 4)):
+            path = root[:upto] + _INSERTS[rng.integers(len(_INSERTS))]
+            place = inside[-1] + 1 if rng.random() < 0.6 else int(rng.choice(inside)) + 1
+            for _ in range(rng.integers(1, 4)):
+                words = others[rng.integers(len(others))].split(" ")
+                made.append((place, (path, " ".join(words[: rng.integers(1, len(words) + 1)]), 0)))
+        page, labels = list(page), list(labels)
+        for place, block in sorted(made, key=lambda m: -m[0]):
+            page.insert(place, block)
+            labels.insert(place, 0)
+
+    def changed(element: Element) -> Element:
+        if element[0] not in _MAIN or _named(element, _REPLIES):
+            return element
+        return body if swapped else (element[0], element[1] + called)
+
+    return [(tuple(map(changed, path)), text, linked) for path, text, linked in page], labels
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -244,12 +343,37 @@ def label(model: dict[str, np.ndarray], pages: list[np.ndarray]) -> list[np.ndar
     return out
 
 
+def sample(pages: DataFrame, html_column: str = "html") -> list[str]:
+    """At most ``FIT_PAGES`` distinct pages, those whose html has the least hashes.
+
+    Hashes over a limit that follows the number of distinct pages are left out first,
+    so that partitions do not each send a sample of their own.
+    """
+    hashed = pages.select(whole_text(html_column).alias("html")).withColumn("hash", F.xxhash64("html"))
+    distinct = hashed.agg(F.approx_count_distinct("hash")).head()[0]
+    share = min(1.0, SPARE * FIT_PAGES / max(1, distinct))
+    if share < 1:
+        hashed = hashed.where(F.col("hash") < int(-(2**63) + share * 2**64))
+    chosen = cut(hashed.groupBy("hash").agg(F.min("html").alias("html"))).orderBy("hash").limit(FIT_PAGES)
+    return [r["html"] for r in chosen.collect()]
+
+
+def learnt(htmls: list[str], seed: int = 20_240_311) -> dict[str, np.ndarray]:
+    """The model of some pages and of a changed copy of each."""
+    rng = np.random.default_rng(seed)
+    found = [blocks(html) for html in htmls]
+    labels = [[weak_label(path) for path, _, _ in page] for page in found]
+    others = [text for page, known in zip(found, labels, strict=True) for (_, text, _), y in zip(page, known, strict=True) if y]
+    pairs = list(zip(found, labels, strict=True))
+    # A few pages are changed more often, so that every kind of change is met.
+    changed = FIT_PAGES if pairs else 0
+    pairs += [varied(*pairs[k % len(found)], others, rng) for k in range(changed)]
+    return train([vectors(page) for page, _ in pairs], [np.array(known, np.float64) for _, known in pairs])
+
+
 def fit(pages: DataFrame, html_column: str = "html") -> dict[str, np.ndarray]:
-    """Fit on at most ``FIT_PAGES`` pages, picked by a hash of their html."""
-    chosen = pages.select(whole_text(html_column).alias("html")).orderBy(F.xxhash64("html"), "html").limit(FIT_PAGES)
-    found = [blocks(r["html"]) for r in chosen.collect()]
-    labels = [np.array([weak_label(p) for p, _, _ in page], np.float64) for page in found]
-    return train([vectors(page) for page in found], labels)
+    """Fit on at most ``FIT_PAGES`` distinct pages and changed copies of them."""
+    return learnt(sample(pages, html_column))
 
 
 def extract(
@@ -263,7 +387,8 @@ def extract(
 
     A null or empty html, and a page without main text, give an empty text. Line
     breaks part blocks; characters are decoded and white space inside a block is
-    one space. Nothing is cut off. Repeated rows are extracted each.
+    one space. Nothing is cut off. Repeated rows are extracted each; an empty table
+    gives an empty result.
     """
     model = fit(pages, html_column) if model is None else model
     chosen = pages.select(
