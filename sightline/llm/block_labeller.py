@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -140,28 +140,36 @@ def _slot(word: str, size: int) -> int:
     return zlib.crc32(word.encode("utf-8", "replace")) % size
 
 
+@lru_cache(4096)
+def _path_vector(path: tuple[Element, ...]) -> tuple[np.ndarray, bool]:
+    """The tags and names of a path, and whether one of them sets its text apart."""
+    x = np.zeros(PATH, np.float32)
+    for tag, names in path:
+        x[_slot(tag, PATH)] = 1
+        for name in names:
+            for word in name[:1] if name and name[0] in _ABOUT_OTHERS else name:
+                x[_slot("." + word, PATH)] = 1
+    if path:
+        x[_slot("/" + path[-1][0], PATH)] = 1
+    return x, any(map(_apart, path))
+
+
 def vectors(found: list[Block]) -> np.ndarray:
     """One input row for each block: tag path, hashed words of the whole block, lengths and place."""
     x = np.zeros((len(found), INPUT), np.float32)
     for k, (path, text, linked) in enumerate(found):
-        for tag, names in path:
-            x[k, _slot(tag, PATH)] = 1
-            for name in names:
-                for word in name[:1] if name and name[0] in _ABOUT_OTHERS else name:
-                    x[k, _slot("." + word, PATH)] = 1
-        if path:
-            x[k, _slot("/" + path[-1][0], PATH)] = 1
-        words = Counter(text.split(" "))
-        total = sum(words.values())
-        for w, n in words.items():
-            x[k, PATH + _slot(w, WORDS)] += n / total
+        x[k, :PATH], apart = _path_vector(path)
+        words = text.encode("utf-8", "replace").split(b" ")
+        total = len(words)
+        slots = [crc % WORDS for crc in map(zlib.crc32, words)]
+        x[k, PATH : PATH + WORDS] = np.bincount(slots, minlength=WORDS) / total
         x[k, PATH + WORDS :] = (
             np.log1p(len(text)) / 8,
             linked / max(1, len(text)),
             k / max(1, len(found)),
             sum(text.count(c) for c in ".,;:!?") / total,
             len(path) / 8,
-            any(map(_apart, path)),
+            apart,
         )
     return x
 
