@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -90,7 +90,18 @@ def read_hosts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_baskets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Text file with one basket per line to arrays of distinct items."""
+    """Text file with one basket per line to arrays of distinct items.
+
+    A quoted item may hold the separator, outer spaces, and quotes written twice.
+    """
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    items = F.transform(F.split("value", re.escape(sep)), lambda item: F.trim(item))
+    end = f"(?:{re.escape(sep)}|\\z)"
+    quoted = '"[^"]*+(?:""[^"]*+)*+"'
+    found = F.regexp_extract_all("value", F.lit(f"(?s) *({quoted}(?= *{end})|.*?) *{end}"), F.lit(1))
+
+    def plain(item: Column) -> Column:
+        inner = F.replace(F.substring(item, F.lit(2), F.length(item) - 2), F.lit('""'), F.lit('"'))
+        return F.when(item.rlike(f"^{quoted}\\z"), inner).otherwise(item)
+
+    items = F.transform(found, plain)
     return lines.select(F.array_distinct(F.filter(items, lambda i: i != "")).alias("items"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,8 +22,17 @@ def write_csv(
 
 
 def write_baskets(baskets: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One basket per line, items joined by commas."""
-    baskets.select(F.concat_ws(",", "items").alias("value")).write.mode(mode).text(path)
+    """One basket per line, items joined by commas.
+
+    Items with commas, quotes or outer spaces are quoted, so that the file reads
+    back as it was. A line break in an item becomes a space, as a basket is one line.
+    """
+
+    def quoted(item: Column) -> Column:
+        line = F.regexp_replace(item, r"\r\n|\r|\n", " ")
+        return F.when(line.rlike('[,"]|^ | $'), F.concat(F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(line)
+
+    baskets.select(F.array_join(F.transform("items", quoted), ",").alias("value")).write.mode(mode).text(path)
 
 
 def write_report(metrics: DataFrame, path: str, mode: str = "errorifexists") -> None:

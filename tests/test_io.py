@@ -93,6 +93,11 @@ def test_baskets_round_trip(spark, tmp_path):
     items = spark.createDataFrame([(["a", "b"],), (["c"],)], "items array<string>")
     writers.write_baskets(items, str(tmp_path / "b"))
     assert values(readers.read_baskets(spark, str(tmp_path / "b"))) == values(items)
+    odd = spark.createDataFrame([(["a,b", 'say "x", y', " outer ", '"'],), (["plain", "ü,"],)], "items array<string>")
+    writers.write_baskets(odd, str(tmp_path / "odd"))
+    assert values(readers.read_baskets(spark, str(tmp_path / "odd"))) == values(odd)
+    (tmp_path / "s.txt").write_text('a | "b|c" |d"e|"f\n')
+    assert values(readers.read_baskets(spark, str(tmp_path / "s.txt"), "|")) == [(["a", "b|c", 'd"e', '"f'],)]
     (tmp_path / "t.txt").write_text("a, b,a\n\nc\n")
     assert values(readers.read_baskets(spark, str(tmp_path / "t.txt"))) == [(["a", "b"],), (["c"],)]
 
