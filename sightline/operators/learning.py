@@ -268,13 +268,17 @@ def _svm() -> LinearSVC:
 
 
 def train_svm(vectors: DataFrame, balanced: bool = False) -> tuple[LinearSVCModel, DataFrame]:
-    """Fit on a 65 % split; the confusion of the held-out rest comes with the model."""
+    """Fit on a 65 % split; the confusion of the held-out rest, one row, comes with the model."""
     vectors = vectors.persist()
-    train, test = hash_split(vectors, ["ip"])
-    if balanced:
-        train = hash_balance(train, ["ip"])
-    model = _svm().fit(train)
-    return model, confusion(model.transform(test))
+    try:
+        train, test = hash_split(vectors, ["ip"])
+        if balanced:
+            train = hash_balance(train, ["ip"])
+        model = _svm().fit(train)
+        report = confusion(model.transform(test))
+        return model, vectors.sparkSession.createDataFrame(report.collect(), report.schema)
+    finally:
+        vectors.unpersist()
 
 
 def score_cohort(model: Transformer, vectors: DataFrame) -> DataFrame:
@@ -295,22 +299,24 @@ def fit_logistic_formula(
 ) -> tuple[PipelineModel, DataFrame]:
     """Binomial regression from a formula: AIC, k-fold cost and R squared of the fit."""
     frame = frame.persist()
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label")
-    flow = Pipeline(stages=[RFormula(formula=formula), glm])
-    cost = RegressionEvaluator(labelCol="label", metricName="mse")
-    search = CrossValidator(
-        estimator=flow,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=cost,
-        numFolds=folds,
-        seed=SEED,
-    ).fit(frame)
-    model = search.bestModel
-    r2 = RegressionEvaluator(labelCol="label", metricName="r2").evaluate(model.transform(frame))
-    rows = [
-        ("aic", model.stages[-1].summary.aic),
-        ("cv_cost", search.avgMetrics[0]),
-        ("r2", r2),
-    ]
-    frame.unpersist()
-    return model, _metrics(frame.sparkSession, rows)
+    try:
+        glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="label")
+        flow = Pipeline(stages=[RFormula(formula=formula), glm])
+        cost = RegressionEvaluator(labelCol="label", metricName="mse")
+        search = CrossValidator(
+            estimator=flow,
+            estimatorParamMaps=ParamGridBuilder().build(),
+            evaluator=cost,
+            numFolds=folds,
+            seed=SEED,
+        ).fit(frame)
+        model = search.bestModel
+        r2 = RegressionEvaluator(labelCol="label", metricName="r2").evaluate(model.transform(frame))
+        rows = [
+            ("aic", model.stages[-1].summary.aic),
+            ("cv_cost", search.avgMetrics[0]),
+            ("r2", r2),
+        ]
+        return model, _metrics(frame.sparkSession, rows)
+    finally:
+        frame.unpersist()

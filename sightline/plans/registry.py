@@ -642,27 +642,33 @@ for _name, _learner in learning.LEARNERS.items():
     _register_learner(_name, _learner)
 
 
+def _cohort_features(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Wide features of a cohort, with the columns of all customers."""
+    sightings = derived.sightings(spark, folder)
+    return profile.ip_features_wide(cohorts.cohort(sightings, name), profile.customer_ids(sightings))
+
+
+def _svm_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return learning.svm_vectors(_cohort_features(spark, folder, "no5s"))
+
+
 @query
 def svm_train(spark, folder):
-    return learning.train_svm(learning.svm_vectors(_wide(spark, folder)))[1]
+    """Fit on the rows without neutral scores."""
+    return learning.train_svm(_svm_vectors(spark, folder))[1]
 
 
 @query
 def svm_balanced(spark, folder):
-    return learning.train_svm(learning.svm_vectors(_wide(spark, folder)), balanced=True)[1]
+    """The same after balancing the labels."""
+    return learning.train_svm(_svm_vectors(spark, folder), balanced=True)[1]
 
 
 @query
 def svm_score_neutral(spark, folder):
     """Train on the rows without neutral scores, then place the neutral ones."""
-    sightings = derived.sightings(spark, folder)
-    customers = profile.customer_ids(sightings)
-
-    def features(name: str) -> DataFrame:
-        return profile.ip_features_wide(cohorts.cohort(sightings, name), customers)
-
-    model, _ = learning.train_svm(learning.svm_vectors(features("no5s")))
-    return learning.score_cohort(model, learning.svm_scoring_vectors(features("only5s")))
+    model, _ = learning.train_svm(_svm_vectors(spark, folder))
+    return learning.score_cohort(model, learning.svm_scoring_vectors(_cohort_features(spark, folder, "only5s")))
 
 
 @query
