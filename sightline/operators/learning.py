@@ -232,7 +232,9 @@ def _metrics(spark: SparkSession, rows: list[tuple[str, float]]) -> DataFrame:
 def feature_names(vectors: DataFrame) -> list[str] | None:
     attributes = vectors.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     named = [a for group in attributes.values() for a in group]
-    return [a.get("name", str(a["idx"])) for a in sorted(named, key=lambda a: a["idx"])] or None
+    # Places of the sparse counts are known by their customer alone, as count columns are.
+    names = [a.get("name", str(a["idx"])) for a in sorted(named, key=lambda a: a["idx"])]
+    return [n.removeprefix("customerCounts_") for n in names] or None
 
 
 def train_and_report(

@@ -620,14 +620,14 @@ def ml_indexing(spark, folder):
     return learning.index_categories(_enriched(spark, folder)).drop("_row")
 
 
-def _wide(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.ip_features_wide(derived.sightings(spark, folder))
+def _profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.ip_features_sparse(derived.sightings(spark, folder))
 
 
 def _vectors(kind: str, spark: SparkSession, folder: str) -> DataFrame:
     if kind == "enriched":
         return learning.enriched_vectors(learning.index_categories(_enriched(spark, folder)))
-    return learning.profile_vectors(_wide(spark, folder), without_neutral=kind == "no_neutral")
+    return learning.profile_vectors(_profiles(spark, folder), without_neutral=kind == "no_neutral")
 
 
 def _register_learner(name: str, learner: learning.Learner) -> None:
@@ -643,9 +643,9 @@ for _name, _learner in learning.LEARNERS.items():
 
 
 def _cohort_features(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Wide features of a cohort, with the columns of all customers."""
+    """Features of a cohort, with the places of all customers."""
     sightings = derived.sightings(spark, folder)
-    return profile.ip_features_wide(cohorts.cohort(sightings, name), profile.customer_ids(sightings))
+    return profile.ip_features_sparse(cohorts.cohort(sightings, name), profile.customer_index(sightings))
 
 
 def _svm_vectors(spark: SparkSession, folder: str) -> DataFrame:

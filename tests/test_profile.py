@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.operators import cohorts, labels, profile, sampling, series, stats
+from sightline.functions.values import with_score_order
+from sightline.operators import cohorts, labels, learning, profile, sampling, series, stats
 from tests.conftest import sightings, values
 
 
@@ -119,10 +120,83 @@ def test_null_scores_and_times_do_not_count_as_extremes(spark):
     assert (got["firstScore"], got["lastScore"]) == (4.0, 3.0)
 
 
-def test_profile_stays_in_the_jvm_and_scans_once(spark):
+def test_profile_stays_in_the_jvm_and_never_sorts(spark):
     _, frame = random_sightings(spark, 20)
     text = plan(profile.ip_profile(frame))
-    assert "EvalPython" not in text and "MapInPandas" not in text and "Join" not in text
+    assert "EvalPython" not in text and "MapInPandas" not in text
+    # Rows are hashed, not sorted, and the only joins are with the small table of customers.
+    assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHash" not in text
+    assert "SortMergeJoin" not in text and "NestedLoop" not in text
+    assert "Join" not in plan(profile.trends(frame)) and "SortAggregate" not in plan(profile.trends(frame))
+
+
+def test_extremes_by_time_with_ties_and_odd_scores(spark):
+    odd = [0.0, 5e-324, 2.2250738585072014e-308, 0.1, 0.30000000000000004, 1.0, 4.0, 4.000000000000001, 1.7e308,
+           float("inf"), float("nan")]
+    odd = [-x for x in odd[1:-1]] + odd
+    frame = spark.createDataFrame([(x,) for x in odd] + [(None,)], "x double")
+    got = {repr(r["x"]): r["o"] for r in with_score_order(frame, "x", "o").collect()}
+    assert got.pop("None") is None
+    want = sorted(odd, key=lambda x: (x != x, x))
+    assert sorted(got, key=got.get) == [repr(x) for x in want] and len(set(got.values())) == len(odd)
+    rng = random.Random(9)
+    drawn = [(str(rng.randrange(8)), str(rng.randrange(3)), rng.choice([-7, 0, 3, 1700000000000000000]), rng.choice(odd[:-1]))
+             for _ in range(600)]
+    rows = sightings(spark, *[
+        {"data": ip, "anonymous_id": c, "first_seen": t, "last_seen": t, "threat_score": x} for ip, c, t, x in drawn
+    ])
+    for ip, first, last in values(profile.first_last_scores(rows)):
+        mine = [(t, x) for i, _, t, x in drawn if i == ip]
+        assert (first, last) == (min(mine)[1], max(mine)[1])
+    with pytest.raises(Exception, match="5e18"):
+        profile.ip_profile(sightings(spark, {"first_seen": 6 * 10**18})).collect()
+
+
+def test_customers_are_numbered_in_order_without_gaps(spark):
+    ids = [f"c{i * 7919 % 3000}" for i in range(3000)]
+    rows = sightings(spark, *[{"anonymous_id": c} for c in [*ids, None, ids[0]]]).repartition(5)
+    got = profile.customer_index(rows).orderBy("customer").collect()
+    assert [tuple(r) for r in got] == [(c, i) for i, c in enumerate(sorted(ids))]
+    assert profile.customer_index(sightings(spark, {"anonymous_id": None})).count() == 0
+
+
+def test_sparse_counts_hold_what_the_wide_columns_hold(spark):
+    _, frame = random_sightings(spark)
+    names = profile.customer_ids(frame)
+    wide = {r["ip"]: r.asDict() for r in profile.ip_features_wide(frame).collect()}
+    sparse = profile.ip_features_sparse(frame).collect()
+    assert len(sparse) == len(wide)
+    for row in sparse:
+        want = wide[row["ip"]]
+        assert row["customerCounts"].toArray().tolist() == [want[c] for c in names]
+        assert all(row[c] == want[c] or row[c] is want[c] for c in profile.PROFILE_COLUMNS)
+    vectors = learning.profile_vectors(profile.ip_features_sparse(frame))
+    by_name = learning.profile_vectors(profile.ip_features_wide(frame))
+    assert learning.feature_names(vectors) == learning.feature_names(by_name)
+    # Places without a customer in the part: the index of a larger table.
+    part = frame.where(F.col("anonymous_id") == names[-1])
+    one = profile.ip_features_sparse(part, profile.customer_index(frame)).first()["customerCounts"]
+    assert one.size == len(names) and one.indices.tolist() == [len(names) - 1]
+
+
+def test_a_hundred_thousand_customers_profile_and_train(spark):
+    base = sightings(spark, {}).drop("anonymous_id", "data", "threat_score")
+    many = spark.range(200_000).select(
+        F.format_string("c%06d", F.col("id") % 100_000).alias("anonymous_id"),
+        F.concat(F.lit("ip"), F.col("id") % 400).alias("data"),
+        (F.col("id") % 400 % 2 * 8).cast("double").alias("threat_score"),
+    )
+    rows = many.crossJoin(F.broadcast(base)).select(*sightings(spark).columns)
+    features = profile.ip_features_sparse(rows).persist()
+    assert features.count() == 400
+    vector = features.first()["customerCounts"]
+    assert vector.size == 100_000 and vector.toArray().sum() == 500
+    vectors = learning.profile_vectors(features)
+    model = learning.LogisticRegression(maxIter=3).fit(vectors)
+    assert model.numFeatures == 100_000 + 5
+    with pytest.raises(ValueError, match="ip_features_sparse"):
+        profile.ip_features_wide(rows)
+    features.unpersist()
 
 
 def test_cohorts(spark):
