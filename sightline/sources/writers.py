@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,22 +40,63 @@ def write_report(metrics: DataFrame, path: str, mode: str = "errorifexists") ->
     metrics.coalesce(1).write.mode(mode).csv(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def fingerprint(spark: SparkSession, inputs: Iterable[str], settings: str = "") -> str:
+    """A digest of the files under the input paths (place, length, time of change) and of the settings."""
+    lines = [settings]
+    for path in inputs:
+        files, location = _file_system(spark, path)
+        found, under = files.listFiles(location, True), []
+        while found.hasNext():
+            one = found.next()
+            under.append(f"{one.getPath()} {one.getLen()} {one.getModificationTime()}")
+        lines += [path, *sorted(under)]
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:32]
+
+
+def _only_spark_output(files, location) -> bool:
+    names = [child.getPath().getName() for child in files.listStatus(location)]
+    return all(n.startswith(("part-", "_", ".")) or "=" in n for n in names)
+
+
 def materialize(
     spark: SparkSession,
     path: str,
     build: Callable[[], DataFrame],
-    mode: str = "ignore",
+    inputs: Iterable[str] = (),
+    settings: str = "",
 ) -> DataFrame:
-    """Read the artifact at ``path``; build and write it first when it is absent.
-
-    Only a missing path counts as absent: any other failure is raised.
+    """Read the artifact at ``path``; build and write it first when it is absent, half-written or stale.
+
+    It is stale when the files of ``inputs`` or the ``settings`` changed since
+    it was built; without either, what is complete stays. A build goes to
+    ``<path>._staged``, gets a mark, and takes its place by one rename (atomic
+    where the file system's renames are), so readers never see half of it. A
+    job that stopped between mark and rename goes on from the staged files.
+    One job at a time may build a path. A folder with other files than Spark
+    writes is never replaced, and failures of reading are raised.
     """
-    try:
+    inputs = list(inputs)
+    mark = f"_artifact-{fingerprint(spark, inputs, settings)}"
+    files, target = _file_system(spark, path)
+    staged_path = f"{path.rstrip('/')}._staged"
+    staged = _file_system(spark, staged_path)[1]
+    child = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fixed = not inputs and not settings
+    if files.exists(child(target, mark)) or (fixed and files.exists(child(target, "_SUCCESS"))):
         return spark.read.parquet(path)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
-    write_parquet(build(), path, mode)
+    if files.exists(target) and not _only_spark_output(files, target):
+        raise ValueError(f"{path} holds files that are no artifact")
+    if not files.exists(child(staged, mark)):
+        write_parquet(build(), staged_path, "overwrite")
+        files.create(child(staged, mark)).close()
+    files.delete(target, True)
+    if not files.rename(staged, target):
+        raise OSError(f"could not move {staged_path} to {path}")
     return spark.read.parquet(path)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sightline import schemas
 from sightline.operators import baskets
+from sightline.plans import jobs
 from sightline.sources import readers, writers
 from tests.conftest import sightings, values
 
@@ -83,6 +84,56 @@ def test_materialize_builds_once_and_hides_no_other_failure(spark, tmp_path):
     assert "PATH_NOT_FOUND" not in str(failure.value) and len(calls) == 1
 
 
+def test_materialize_rebuilds_what_is_half_written_or_stale(spark, tmp_path):
+    calls = []
+    source, kept = str(tmp_path / "in"), tmp_path / "kept"
+    spark.range(3).write.parquet(source)
+
+    def get(settings="a"):
+        def build():
+            calls.append(1)
+            return spark.read.parquet(source)
+
+        return writers.materialize(spark, str(kept), build, [source], settings).count()
+
+    assert (get(), get(), len(calls)) == (3, 3, 1)
+    # A changed input, then a changed setting.
+    spark.range(2).write.mode("append").parquet(source)
+    assert (get(), get(), len(calls)) == (5, 5, 2)
+    assert (get("b"), get("b"), len(calls)) == (5, 5, 3)
+    # Stopped in the middle of a write: files, but no mark.
+    for mark in [*kept.glob("_artifact-*"), *kept.glob("*_SUCCESS*")]:
+        mark.unlink()
+    assert (get("b"), len(calls)) == (5, 4)
+    # Stopped between mark and rename: the staged files are taken as they are.
+    kept.rename(tmp_path / "kept._staged")
+    assert (get("b"), len(calls)) == (5, 4)
+    assert not (tmp_path / "kept._staged").exists()
+    # Without inputs too, a folder without the mark of success is half-written.
+    half = tmp_path / "half"
+    spark.range(9).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert writers.materialize(spark, str(half), lambda: spark.range(4)).count() == 4
+
+
+def test_jobs_keep_the_graph_and_its_analyses(spark, tmp_path):
+    path, folder = str(tmp_path / "sightings"), str(tmp_path / "graph")
+    rows = sightings(spark, {"data": "a.com"}, {"data": "b.com"}, {"data": "a.com", "anonymous_id": "c2"})
+    rows.write.parquet(path)
+
+    def stamps():
+        return {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "graph").glob("*/_artifact-*")}
+
+    first = jobs.analysis_job(spark, path, folder, ["triangles"])["triangles"]
+    assert first.count() == 4 and set(stamps()) == {"vertices", "edges", "triangles"}
+    before = stamps()
+    jobs.analysis_job(spark, path, folder, ["triangles"])
+    assert stamps() == before
+    sightings(spark, {"data": "c.com"}).write.mode("append").parquet(path)
+    assert jobs.analysis_job(spark, path, folder, ["triangles"])["triangles"].count() == 5
+    assert all(stamps()[name] != at for name, at in before.items())
+
+
 def test_upsert_last_write_wins(spark):
     current = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     changes = spark.createDataFrame([("b", 5, 1), ("b", 4, 2), ("c", None, 1)], "k string, v long, at int")
