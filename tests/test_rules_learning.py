@@ -155,6 +155,44 @@ def test_folds_are_fixed_by_the_rows(features):
     assert {f for _, f in first} <= set(range(10))
 
 
+def test_cross_validation_agrees_with_the_one_of_spark(features):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    noisy = features.withColumn("lastScore", F.when(F.pmod(F.xxhash64("ip"), F.lit(5)) == 0, 2.0).otherwise(F.col("lastScore")))
+    vectors = learning.with_folds(learning.profile_vectors(noisy), 4)
+    tree = DecisionTreeClassifier(maxDepth=2)
+    search = CrossValidator(
+        estimator=tree, estimatorParamMaps=ParamGridBuilder().addGrid(tree.maxDepth, [2, 5]).build(),
+        evaluator=learning.evaluator("multiclass"), numFolds=4, foldCol="fold",
+    ).fit(vectors)
+    found = learning.cross_validate(vectors, learning.LEARNERS["ml_tree2"], folds=4)
+    assert found.avgMetrics == pytest.approx(search.avgMetrics) and 0.5 < min(found.avgMetrics) < 1
+    assert found.bestModel.toDebugString.split("\n")[1:] == search.bestModel.toDebugString.split("\n")[1:]
+    with pytest.raises(ValueError, match="fold 0 has no rows"):
+        learning.cross_validate(vectors.where("fold = 0"), learning.LEARNERS["ml_tree2"], folds=4)
+
+
+def test_vectors_are_cached_in_few_parts_and_no_copies(features, monkeypatch):
+    spread = learning.with_folds(learning.profile_vectors(features), 3).repartition(64)
+    laid = learning.laid_out(spread)
+    assert laid.rdd.getNumPartitions() == 1 and laid.columns == ["fold", "label", "features"]
+    assert learning.feature_names(laid) == learning.feature_names(spread)
+    monkeypatch.setattr(learning, "LARGE_PART", 60)
+    assert learning.laid_out(spread).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(learning, "ROWS_AT_ONCE", 1)
+    assert learning.cross_validate(laid, learning.LEARNERS["ml_tree2"], folds=3).avgMetrics[0] > 0.95
+
+
+def test_indexing_works_the_rows_out_once(spark):
+    rows = [("h", "Asia", "x", 1.0, f"d{i % 2}", i, "IT", "small", "e") for i in range(9)]
+    frame = spark.createDataFrame(rows, learning.DISTINCT_COLUMNS)
+    indexed = learning.index_categories(frame)
+    assert indexed.count() == 9 and {r["rescoreIndex"] for r in indexed.collect()} == {0.0, 1.0}
+    plan = indexed._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan and "Exchange" not in plan
+
+
 def test_logistic_formula(spark):
     rng = random.Random(2)
     rows = [(float(rng.random() < (0.8 if x > 5 else 0.2)), x) for x in (rng.random() * 10 for _ in range(300))]
