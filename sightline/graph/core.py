@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.skew import lookup_join
+from sightline.session import cut
 
 
 class Graph:
@@ -61,15 +62,19 @@ class Graph:
     @property
     def triplets(self) -> DataFrame:
         """Every edge with both its vertices, as structs ``src``, ``edge``, ``dst``."""
-        packed = self.vertices.select("id", F.struct(*self.vertices.columns).alias("v"))
-        edges = self.edges.select(
-            F.col("src").alias("_s"), F.col("dst").alias("_d"), F.struct("*").alias("edge")
-        )
-        plain = edges
-        for end, name in (("_s", "src"), ("_d", "dst")):
-            side = packed.select(F.col("id").alias(end), F.col("v").alias(name))
-            edges = lookup_join(edges, side, end, counted=plain)
-        return edges.select("src", "edge", "dst")
+        # Ids and structs are put together after the joins: rows move with each id once.
+        names, columns = self.edges.columns, self.vertices.columns
+        others = [c for c in columns if c != "id"]
+        edges = cut(self.edges)
+        joined, plain, size = edges, edges, edges.count()
+        for end in ("src", "dst"):
+            side = self.vertices.select(F.col("id").alias(end), F.struct(F.lit(1).alias("_"), *others).alias(f"_{end}"))
+            joined = lookup_join(joined, side, end, at_most=size, counted=plain)
+        ends = [
+            F.struct(*[(F.col(end) if c == "id" else F.col(f"_{end}")[c]).alias(c) for c in columns]).alias(end)
+            for end in ("src", "dst")
+        ]
+        return joined.select(ends[0], F.struct(*names).alias("edge"), ends[1])
 
     def find(self, pattern: str) -> DataFrame:
         from sightline.graph.motifs import find

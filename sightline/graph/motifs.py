@@ -61,7 +61,9 @@ def find(graph, pattern: str) -> DataFrame:
     """One row per occurrence, a struct column per name in the pattern.
 
     Every edge term is an equi-join on the vertices it shares with the terms
-    before it, every negated term an anti join. A pattern that falls into
+    before it, every negated term an anti join. Vertices are joined to the edges
+    that name them first, before terms multiply the rows, and edges of longer
+    patterns whose ends meet no other term leave. A pattern that falls into
     unconnected parts would need a cross join and is refused.
     """
     terms, lone, names = _terms(pattern)
@@ -74,20 +76,38 @@ def find(graph, pattern: str) -> DataFrame:
 
     rows: DataFrame | None = None
     bound: set[str] = set()
-    edge_names: list[str] = []
+    wanted = [n for n in names if not any(n == t.edge for t in present)]
+    reachable = {n for t in present for n in (t.src, t.dst)}
+    for name in wanted:
+        if name not in reachable:
+            raise ValueError(f"vertex {name!r} shares no edge with the rest of the motif")
+    positive = list(present)
+    edges, packed = cut(graph.edges), cut(packed)
+    size = edges.count()
+    if len(positive) > 2:
+        marks = {c: cut(edges.select(F.col(c).alias("_mark")).distinct()) for c in ("src", "dst")}
     while present:
         term = next((t for t in present if not bound or {t.src, t.dst} & bound), None)
         if term is None:
             raise ValueError("the motif falls into parts that share no vertex")
         present.remove(term)
-        source = graph.edges.where(F.col("src") == F.col("dst")) if term.src == term.dst else graph.edges
+        source = edges.where(F.col("src") == F.col("dst")) if term.src == term.dst else edges
+        if len(positive) > 2:
+            for end, name in (("src", term.src), ("dst", term.dst)):
+                for other in {c for t in positive if t is not term for c, n in (("src", t.src), ("dst", t.dst)) if n == name}:
+                    if other != end:
+                        source = source.join(marks[other], F.col(end) == F.col("_mark"), "left_semi")
         columns = [F.col("src").alias(f"id:{term.src}")]
         if term.dst != term.src:
             columns.append(F.col("dst").alias(f"id:{term.dst}"))
         if not term.edge.startswith("_any"):
             columns.append(F.struct(*graph.edges.columns).alias(term.edge))
-            edge_names.append(term.edge)
         piece = source.select(*columns)
+        for name in dict.fromkeys((term.src, term.dst)):
+            if name in wanted and name not in bound:
+                side = packed.select(F.col("id").alias(f"id:{name}"), F.col("v").alias(name))
+                plain = edges.select(F.col("src" if name == term.src else "dst").alias(f"id:{name}"))
+                piece = lookup_join(piece, side, f"id:{name}", at_most=size, counted=plain)
         shared = [f"id:{n}" for n in dict.fromkeys((term.src, term.dst)) if n in bound]
         rows = piece if rows is None else rows.join(piece, shared)
         bound |= {term.src, term.dst}
@@ -96,17 +116,7 @@ def find(graph, pattern: str) -> DataFrame:
         ends = [(c, n) for c, n in (("src", term.src), ("dst", term.dst)) if n != "_any"]
         if not ends or any(n not in bound for _, n in ends):
             raise ValueError("a negated edge must end at vertices bound elsewhere")
-        barred = graph.edges.select(*[F.col(c).alias(f"id:{n}") for c, n in ends]).distinct()
+        barred = edges.select(*[F.col(c).alias(f"id:{n}") for c, n in ends]).distinct()
         rows = rows.join(barred, [f"id:{n}" for _, n in ends], "left_anti")
 
-    # Every vertex name is one more join over these rows: work them out once.
-    rows = cut(rows)
-    found, plain = rows.count(), rows
-    for name in names:
-        if name in edge_names:
-            continue
-        if name not in bound:
-            raise ValueError(f"vertex {name!r} shares no edge with the rest of the motif")
-        side = packed.select(F.col("id").alias(f"id:{name}"), F.col("v").alias(name))
-        rows = lookup_join(rows, side, f"id:{name}", at_most=found, counted=plain)
     return rows.select(*names)

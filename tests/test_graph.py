@@ -232,3 +232,39 @@ def test_factors_lower_the_loss(spark):
     assert factors.where(F.size("column1") == 4).count() == vertices.count()
     again, same = svd_plus_plus(Graph(vertices, ratings), min_heavy=HEAVY, **settings)
     assert same == pytest.approx(losses)
+
+
+def test_edges_held_for_rounds_are_not_sorted_again(spark, monkeypatch):
+    from sightline.graph import links
+
+    monkeypatch.setattr(links, "PART_ROWS", 10)
+    edges = spark.createDataFrame([(i % 13, i % 7) for i in range(90)], "src long, dst long")
+    held = links.Links(edges)
+    assert held.cold.rdd.getNumPartitions() == 9
+    states = spark.range(13).withColumn("rank", F.lit(1.0))
+    met = held.meet(states.hint("merge"))
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("InMemoryTableScan")[0].count("Sort [") == 0 and met.count() == 90
+    held.close()
+
+
+def test_motif_vertices_are_joined_before_rows_multiply(spark):
+    edges = spark.createDataFrame([(1, 2), (1, 2), (2, 3), (3, 1), (3, 4), (9, 1), (2, 9)], "src long, dst long")
+    g = Graph(spark.createDataFrame([(i, f"n{i}") for i in (1, 2, 3, 4)], "id long, name string"), edges)
+    found = g.find("(a)-[]->(b); (b)-[]->(c); (c)-[]->(a)")
+    assert values(found, "a.name", "b.name", "c.id") == sorted(
+        [("n1", "n2", 3), ("n2", "n3", 1), ("n3", "n1", 2)] * 2
+    )
+    two = g.find("(a)-[]->(b); (b)-[e]->(c)")
+    assert two.count() == 6 and values(g.find("(a)-[]->()"), "a.id") == [(1,), (1,), (2,), (2,), (3,), (3,)]
+    # The rows of the motif are not written: the plan still holds the join of its terms.
+    assert two._jdf.queryExecution().optimizedPlan().toString().count("Join") == 4
+
+
+def test_sighting_graph_reads_sightings_once(spark):
+    rows = sightings(spark, {"anonymous_id": "c1", "data": "x.a.com"}, {"anonymous_id": None, "data": "1.2.3.4"})
+    g = build.create_graph(rows)
+    for frame in (g.vertices, g.edges, g.triplets):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" in plan and "LocalRelation" not in plan and "LogicalRDD" not in plan
+    assert g.vertices.count() == 4 and g.edges.count() == 4
