@@ -80,6 +80,18 @@ def test_low_support_takes_every_set(spark, basket_list):
     assert {r["n"] for r in pairs.collect()} and all(len(r["items"]) <= 2 for r in pairs.collect())
 
 
+def test_wide_baskets_are_counted_in_blocks(spark, basket_list, monkeypatch):
+    monkeypatch.setattr(rules, "BLOCK_BASKETS", 64)
+    monkeypatch.setattr(rules, "STEMS_AT_ONCE", 3)
+    rows = [(b,) for b in basket_list * 5] + [([],), (None,), (["yes", "yes", None, "rare"],)]
+    frame = spark.createDataFrame(rows, "items array<string>").repartition(3)
+    for most in (1, 2, 3, 10):
+        want = {tuple(r["items"]): r["n"] for r in rules.frequent_itemsets(frame, 0.03, most).collect()}
+        got = rules.grown_itemsets(frame, 0.03, most).collect()
+        assert {tuple(r["items"]): r["n"] for r in got} == want and len(got) == len(want)
+    assert rules.grown_itemsets(frame.limit(0), 0.1).collect() == []
+
+
 def test_one_item_rules_match_brute_force(spark, basket_list):
     frame = spark.createDataFrame([(b,) for b in basket_list], "items array<string>")
     got = {
