@@ -13,23 +13,34 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from sightline.llm.common import ranked, tokenizer_text, union_all, whole_text
 from sightline.session import cut
 
 MAX_TOKENS = 2048
 END_ID = 1
-# Encoded pieces, and runs of pieces, that a Python worker remembers before it starts anew.
-REMEMBERED = 600_000
-REMEMBERED_RUNS = 250_000
-# How this kind of tokenizer splits text; a fixed value of the public format.
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# White space of that pattern but the plain space, a fixed value of Unicode.
-WHITE = "\\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Bytes of runs and ids that a task remembers; bytes of text that it splits at once.
+REMEMBERED_BYTES = 48 << 20
+SLICE_BYTES = 8 << 20
+# Runs encoded in one call.
+JOINED = 2_000
+# Bytes by kind: 1 white space, 2 letter, 3 digit, 4 other mark, 5 apostrophe; 0 control and beyond ASCII.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[32, *range(9, 14)]] = 1
+_KIND[33:127] = [2 if chr(b).isalpha() else 3 if chr(b).isdigit() else 5 if chr(b) == "'" else 4 for b in range(33, 127)]
+# Bytes that begin no white space: neither that of ASCII nor, in UTF-8, any beyond it.
+_SOLID = np.ones(256, dtype=bool)
+_SOLID[[*range(33), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+# A run that keeps its ids between two line ends: no white space or control but one space in front.
+PLAIN = r"^ ?[^\x00-\x20\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}]+$"
 _PIECE_FIELDS = [
     ("start", pa.int64()),
     ("length", pa.int64()),
@@ -38,88 +49,111 @@ _PIECE_FIELDS = [
 ]
 
 
-class _Words(dict):
-    """Ids of each word as little-endian bytes, encoded when first met."""
+def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of runs whose ids are those they have in any text; ``bounds`` are the ends of texts.
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-
-class _Chunks(dict):
-    """Ids of each run without white space, after a space where ``space`` is one.
-
-    No piece reaches over the end of such a run, so its ids are those it has in
-    any text.
+    This kind of tokenizer leaves the last white space before a word to the word,
+    if it is a space, or lets it stand alone. So texts fall apart before it, and
+    after it if it is no space. They also do where letters, digits and marks
+    meet, unless an apostrophe is in front.
     """
-
-    def __init__(self, split, known: _Words, space: str):
-        super().__init__()
-        self.split, self.known, self.space = split, known, space
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED_RUNS:
-            self.clear()
-        ids = b"".join(map(self.known.__getitem__, self.split(self.space + chunk)))
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+    kind = _KIND[data]
+    front, back = kind[:-1], kind[1:]
+    fresh = np.zeros(len(data) + 1, dtype=bool)
+    fresh[:-2] = (front == 1) & _SOLID[data[1:]]
+    fresh[bounds[1:-1] - 1] = False
+    fresh[1:-1] |= fresh[:-2] & (data[:-1] != 32)
+    fresh[1:-1] |= (front > 1) & (front < 5) & (back > 1) & (np.minimum(front, 4) != np.minimum(back, 4))
+    fresh[bounds] = True
+    return np.flatnonzero(fresh)
+
+
+class _Encoder:
+    """Ids of texts. A distinct run is encoded once as long as it is remembered."""
+
+    def __init__(self, source: str):
+        self.tokenizer = Tokenizer.from_str(source)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line = self.ids("\n")
+        self.forget()
+
+    def forget(self) -> None:
+        """Known runs, how many ids each has, and these."""
+        self.known, self.numbers, self.flat = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def learn(self, runs: pa.Array) -> None:
+        """Remember the ids of ``runs``. Plain ones are joined by line ends, which stand alone between them."""
+        plain = pc.match_substring_regex(runs, PLAIN)
+        found, numbers, others = [], [], [runs.filter(pc.invert(plain))]
+        joined = runs.filter(plain)
+        kept = []
+        for at in range(0, len(joined), JOINED):
+            part = joined.slice(at, JOINED)
+            ids = self.ids("\n".join(part.to_pylist()))
+            line = ids == self.line[0]
+            ends = np.flatnonzero(line)
+            if len(self.line) > 1 or len(ends) != len(part) - 1:
+                others.append(part)
+                continue
+            kept.append(part)
+            found.append(ids[~line])
+            numbers.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+        for part in others:
+            each = [self.ids(run) for run in part.to_pylist()]
+            found += each
+            numbers.append(np.array([len(ids) for ids in each], np.int32))
+        self.known = pa.concat_arrays([self.known, *kept, *others])
+        self.numbers = np.concatenate([self.numbers, *numbers]).astype(np.int32)
+        self.flat = np.concatenate([self.flat, *found])
+
+    def slice(self, data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """Ids of every text of a slice; ``data`` is their UTF-8 and ``bounds`` where they begin and end."""
+        if self.known.nbytes + self.flat.nbytes + self.numbers.nbytes > REMEMBERED_BYTES:
+            self.forget()
+        starts = _cuts(data, bounds)
+        runs = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        missing = pc.invert(pc.is_in(runs.dictionary, value_set=self.known))
+        self.learn(runs.dictionary.filter(missing))
+        of = pc.index_in(runs.dictionary, value_set=self.known).to_numpy()[runs.indices.to_numpy()]
+        numbers = self.numbers[of]
+        upto = np.concatenate([[0], np.cumsum(numbers, dtype=np.int64)])
+        # The place of every id among the known ones, as the run it belongs to has them elsewhere.
+        shift = (np.cumsum(self.numbers, dtype=np.int64) - self.numbers)[of] - upto[:-1]
+        ids = self.flat[np.arange(upto[-1]) + np.repeat(shift, numbers)].tobytes()
+        at = (4 * upto[np.searchsorted(starts, bounds)]).tolist()
+        return [ids[a:b] for a, b in pairwise(at)]
+
+    def __call__(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of every text of a column without nulls."""
+        column = column.cast(pa.large_string())
+        special = np.zeros(len(column), dtype=bool)
+        for s in self.special:
+            special |= pc.match_substring(column, s).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.binary_length(column).to_numpy())
+        first = 0
+        while first < len(column):
+            before = ends[first - 1] if first else 0
+            after = max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            part = column.slice(first, after - first)
+            _, offsets, data = part.buffers()
+            bounds = np.frombuffer(offsets, np.int64)[part.offset : part.offset + len(part) + 1]
+            data = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data else np.zeros(0, np.uint8)
+            coded = self.slice(data, bounds - bounds[0]) if len(data) else [b""] * len(part)
+            for k, ids in enumerate(coded):
+                # Special tokens set apart what lies between them; the library sees to it.
+                yield self.ids(part[k].as_py()).tobytes() if special[first + k] else ids
+            first = after
 
 
 @cache
-def _encoder(source: str):
-    """A function from text to ids as bytes; each worker builds it once."""
-    import re
-
-    import regex
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(source)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    known = _Words(tokenizer)
-    split = regex.compile(PIECES).findall
-    special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-    parts = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
-
-    plain, spaced = _Chunks(split, known, ""), _Chunks(split, known, " ")
-    runs = re.compile(f"([ {WHITE}]{{2,}}|[{WHITE}])").split
-
-    def coded(text: str) -> bytes:
-        out, first = [], plain
-        found = runs(text)
-        for k in range(0, len(found), 2):
-            if found[k]:
-                words = found[k].split(" ")
-                out.append(first[words[0]])
-                out += map(spaced.__getitem__, words[1:])
-            if k + 1 < len(found):
-                # The last space of a run goes to what follows; any other last character stands alone.
-                run = found[k + 1]
-                last = k + 2 == len(found) - 1 and not found[-1]
-                first = spaced if run[-1] == " " and not last else plain
-                if last:
-                    out.append(known[run])
-                else:
-                    out += [known[run[:-1]]] if run[:-1] else []
-                    out += [known[run[-1]]] if first is plain else []
-        return b"".join(out)
-
-    def encode(text: str) -> bytes:
-        if parts is None or not any(s in text for s in special):
-            return coded(text)
-        # Special tokens stand for themselves; what lies between is split apart from them.
-        return b"".join(known[part] if k % 2 else coded(part) for k, part in enumerate(parts(text)))
-
-    return encode
+def _encoder(source: str) -> _Encoder:
+    """Each worker builds it once."""
+    return _Encoder(source)
 
 
 def pieces(
@@ -148,8 +182,8 @@ def pieces(
         encode = _encoder(tokenizer)
         for batch in batches:
             rows, columns, ids = [], [[], [], [], []], []
-            for k, text in enumerate(batch.column("text")):
-                found = encode(text.as_py()) + end
+            for k, found in enumerate(encode(batch.column("text"))):
+                found += end
                 for at in range(0, len(found), 4 * max_tokens):
                     piece = found[at : at + 4 * max_tokens]
                     rows.append(k)
@@ -166,6 +200,9 @@ def pieces(
                 arrays.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+        # The worker may wait long for its next task, beside others and the JVM.
+        encode.forget()
+        pa.default_memory_pool().release_unused()
 
     return chosen.mapInArrow(cut_up, schema)
 

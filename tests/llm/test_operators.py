@@ -168,6 +168,34 @@ def test_packing_round_trip(docs, texts):
         assert at <= 2048
 
 
+def test_packing_encodes_each_run_once_as_the_library_does(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from sightline.llm.common import tokenizer_text
+
+    source = tokenizer_text("byte_bpe_50k.json")
+    coder, encoder = Tokenizer.from_str(source), packing._Encoder(source)
+    dice = random.Random(8)
+    parts = ["a", "B", "é", "ß", "1", "9", "'s", "'", "don't", ".", "#", " ", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0"]
+    parts += ["\u2003", "\u3000", "字", "\U0001f600", "\u0301", "²", "“", "ế", "<|endoftext|>", "\0"]
+    texts = ["", *("".join(dice.choices(parts, k=dice.randrange(30))) for _ in range(1500)), ""]
+    want = [np.array(coder.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(encoder(pa.array(["cut off", *texts]).slice(1))) == want
+    monkeypatch.setattr(packing, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 2000)
+    assert list(encoder(pa.array(texts))) == want
+    # Words met before cost no call of the library; nothing stays when a task ends.
+    monkeypatch.undo()
+    encoder.forget()
+    calls, ids = [], encoder.ids
+    monkeypatch.setattr(encoder, "ids", lambda text: calls.append(text) or ids(text))
+    list(encoder(pa.array(["one two three,###", "two one three"] * 500)))
+    assert sorted(" ".join(calls).split("\n")) == sorted(["one", " two", " three", ",###", "two", " one"])
+    encoder.forget()
+    assert len(encoder.known) == len(encoder.flat) == 0
+
+
 def test_word_table_is_the_tokenizer(docs, texts):
     from tokenizers import Tokenizer
 
