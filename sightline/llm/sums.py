@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Values in one row of the shuffle that adds partitions up.
 SLICE = 512
+# So many partitions send their sums straight to the driver.
+FEW_PARTS = 16
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -26,13 +28,15 @@ def lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).reshape(-1)))
 
 
-def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int, parts: int | None = None) -> np.ndarray:
     """The sum of ``part`` over all batches of ``rows``, a vector of ``size`` values.
 
     A partition sends its sum in slices. The slices are added up in the order of
     partitions, one at a time, so a task that adds holds one batch of the shuffle
     and its own slices, whatever the number of partitions, and a sum does not
     depend on the order in which tasks end. Only the total reaches the driver.
+    Where ``rows`` are known to lie in at most ``FEW_PARTS`` ``parts``, the driver
+    adds their sums itself, in the same order and without a shuffle.
     """
     slices = -(-size // SLICE)
 
@@ -63,9 +67,13 @@ def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size:
             )
 
     sent = rows.mapInArrow(sums, "slice int, part int, values array<double>")
-    tasks = min(slices, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    met = sent.repartition(tasks, "slice").sortWithinPartitions("slice", "part")
     total = np.zeros(slices * SLICE)
+    if parts is not None and parts <= FEW_PARTS:
+        for r in sorted(sent.collect(), key=lambda r: r["part"]):
+            total[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] += r["values"]
+        return total[:size]
+    # Without a number of partitions, Spark joins the small ones, so a pass takes few tasks however wide its shuffle.
+    met = sent.repartition("slice").sortWithinPartitions("slice", "part")
     for r in met.mapInArrow(added, "slice int, values array<double>").collect():
         total[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = r["values"]
     return total[:size]

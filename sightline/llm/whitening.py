@@ -55,8 +55,8 @@ def shifted(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
 class Centred:
     """The fit list as centred rows; knows products of its covariance with a block."""
 
-    def __init__(self, fit: DataFrame, n: int, sums: np.ndarray):
-        self.fit, self.n, self.width = fit, n, len(sums)
+    def __init__(self, fit: DataFrame, n: int, sums: np.ndarray, parts: int | None = None):
+        self.fit, self.n, self.width, self.parts = fit, n, len(sums), parts
         self.rows = partial(centred, n=n, sums=sums)
 
     def times(self, block: np.ndarray) -> np.ndarray:
@@ -67,11 +67,11 @@ class Centred:
             x = rows(batch.column("x"))
             return (x.T @ (x @ block)).reshape(-1)
 
-        return summed(self.fit, part, block.size).reshape(shape) / self.n
+        return summed(self.fit, part, block.size, self.parts).reshape(shape) / self.n
 
     def trace(self) -> float:
         rows = self.rows
-        return float(summed(self.fit, lambda batch: np.array([np.square(rows(batch.column("x"))).sum()]), 1)[0]) / self.n
+        return float(summed(self.fit, lambda batch: np.array([np.square(rows(batch.column("x"))).sum()]), 1, self.parts)[0]) / self.n
 
     def identity_error(self, directions: np.ndarray) -> float:
         """Largest distance of the covariance of whitened rows from the identity."""
@@ -81,7 +81,7 @@ class Centred:
             w = rows(batch.column("x")) @ directions
             return np.concatenate([(w.T @ w).reshape(-1), w.sum(axis=0)])
 
-        found = summed(self.fit, part, k * k + k) / self.n
+        found = summed(self.fit, part, k * k + k, self.parts) / self.n
         mean = found[k * k :]
         return float(np.abs(found[: k * k].reshape(k, k) - np.outer(mean, mean) - np.eye(k)).max())
 
@@ -198,7 +198,8 @@ def whiten(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
     if n < 2:
         return spark.createDataFrame([], schema)
     # The passes read tables whose partitions follow the data, not the width of the shuffle.
-    data = Centred(cut(fit.repartition(n * width // PARTITION + 1)), n, sums)
+    parts = n * width // PARTITION + 1
+    data = Centred(cut(fit.repartition(parts)), n, sums, parts)
     values, found = eigenpairs(data, min(components, width))
     real = values > 1e-13 * max(values[0], 0)
     values, found = values[real], found[:, real]

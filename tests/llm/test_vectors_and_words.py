@@ -151,3 +151,40 @@ def test_spelling_against_brute_force(spark, monkeypatch, full):
     got = {tuple(r) for r in spelling.variants(frame.repartition(3)).collect()}
     assert got == variants_by_hand(rows)
     assert spelling.variants(frame.limit(0)).collect() == []
+
+
+def test_sums_take_few_tasks_in_a_wide_shuffle(spark):
+    """Small slices are added by a few tasks, however many partitions a shuffle has."""
+    from sightline.llm.sums import SLICE, summed
+
+    context, before = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    size = 64 * SLICE
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        context.setJobGroup("sums", "sums")
+        total = summed(spark.range(0, 100, 1, 3), lambda batch: np.full(size, float(batch.num_rows)), size)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert total.tolist() == [100.0] * size
+    status = context.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("sums") for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 8
+
+
+def test_whitening_passes_over_few_parts_need_no_shuffle(spark, monkeypatch):
+    """A pass over a small fit list is one stage; the sums are those of the shuffle, bit for bit."""
+    from sightline.llm import sums
+
+    rows = spark.range(0, 300, 1, 3)
+    part = lambda batch: np.sqrt(batch.column("id").to_numpy().astype(float).sum() + np.arange(700))
+    few = sums.summed(rows, part, 700, 3)
+    assert few.tobytes() == sums.summed(rows, part, 700).tobytes()
+    vectors = spark.createDataFrame([(i, [float((i * k) % 7) for k in (1, 2, 3)]) for i in range(40)], "vec_id long, embedding array<double>")
+    given, summed = [], sums.summed
+    monkeypatch.setattr(whitening, "summed", lambda *a: given.append(a[3]) or summed(*a))
+    assert whitening.whiten(vectors).count() == 120 and set(given) == {1}
+    plans = []
+    monkeypatch.setattr(type(rows), "repartition", lambda *a: plans.append(a))
+    sums.summed(rows, part, 700, 3)
+    assert plans == []
