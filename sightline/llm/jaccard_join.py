@@ -7,9 +7,14 @@ they agree on one even after each set sets aside its least telling ones. The
 part, with the elements a set has in it, is a signature, and similar sets of one
 size band share one.
 
-Sets that share a signature are compared exactly, first all with the smallest
-of their group, then, where a group still holds several components, across
-those. Copies are one set throughout, and what shares nothing leaves early.
+Only sets that can link at all get that far: a set lacks at most a quarter of its
+elements in a similar one, so if more of them are in no other set, none is
+similar. One half of the domain of elements is enough to tell most such sets.
+
+Groups of sets sharing a signature overlap, so they are joined to units. Every
+set is sent to its unit once for each block of it, where common elements are
+counted exactly, and a block writes the links of a forest, not all its pairs.
+Copies are one set throughout.
 """
 
 from __future__ import annotations
@@ -36,10 +41,10 @@ BUCKET_SIGNATURES = 2_000_000
 ENUMERATED = 5
 # Share of parts that a larger set may set aside.
 SPARE = 0.22
-# Least number of buckets of a sketch, one byte each.
-SKETCH = 128
-# Sets in one block of a group whose components are compared with each other.
-BLOCK = 1024
+# Sets and elements in one block of a unit.
+BLOCK, BLOCK_ELEMENTS = 2048, 1_000_000
+# An element in at least so many sets of two blocks is counted by matrices, so many elements at once.
+DENSE, COLUMNS = 32, 4096
 _ONE = np.ones(1, np.uint64)
 
 
@@ -110,100 +115,163 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
     return int(np.int64(mix(_ONE * a)[0].astype(np.int64))), int(np.int64(mix(_ONE * b)[0].astype(np.int64)))
 
 
-def sketch(found: np.ndarray) -> bytes:
-    """Elements of a set counted by bucket.
-
-    Two sets differ in at least as many elements as their sketches do, so these
-    rule out a pair without its elements. Larger sets have more buckets, about
-    one to every four to eight elements, in a power of two: folded by adding up,
-    a large sketch compares with a small one.
-    """
-    size = max(SKETCH, 1 << (len(found) // 8).bit_length())
-    counts = np.bincount((found >> U(20)).astype(np.int64) % size, minlength=size)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
-
+def reduced(found: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 32-bit rest of hashes, each two once."""
+    bucket, rest = found % U(buckets), (found // U(buckets) >> U(8)).astype(np.uint32)
+    both = np.unique(bucket << U(32) | rest)
+    return (both >> U(32)).astype(np.int32), both.astype(np.uint32)
+
+
+class _Packer:
+    """Gathers the hashes of sets and packs them by bucket: keys, a number for each and so many 32-bit rests."""
+
+    schema = "bucket int, keys binary, numbers binary, rests binary"
+    fields = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary()), ("rests", pa.binary())])
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, key: int, found: np.ndarray) -> int:
+        bucket, rest = reduced(found, self.buckets)
+        self.parts.append((np.full(len(rest), key, np.int64), bucket, rest))
+        return len(rest)
+
+    def rows(self) -> pa.RecordBatch:
+        if not sum(len(x[0]) for x in self.parts):
+            return pa.RecordBatch.from_pylist([], self.fields)
+        key, bucket, rest = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        self.parts = []
+        order = np.argsort(bucket, kind="stable")
+        key, bucket, rest = key[order], bucket[order], rest[order]
+        firsts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])
+        upto = np.r_[firsts, len(key)]
+        numbers = np.diff(upto).astype(np.uint32)
+        of = bucket[firsts]
+        cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+        packed = [
+            (key[firsts[a:b]].tobytes(), numbers[a:b].tobytes(), rest[upto[a] : upto[b]].tobytes())
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+        ]
+        columns = [pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(of[cuts[:-1]], pa.int32()), *columns], schema=self.fields)
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and rests of one bucket, sorted by rest and key, each two once."""
+    column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    key = np.repeat(column("keys", np.int64), column("numbers", np.uint32))
+    rest = column("rests", np.uint32)
+    order = np.lexsort((key, rest))
+    key, rest = key[order], rest[order]
+    fresh = np.r_[True, (rest[1:] != rest[:-1]) | (key[1:] != key[:-1])] if len(rest) else np.zeros(0, bool)
+    return key[fresh], rest[fresh]
 
-def least_difference(x: bytes, y: bytes) -> int:
-    """Number of elements in which two sets differ at least, by their sketches."""
-    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
-    size = min(len(a), len(b))
-    return int(np.abs(a.reshape(-1, size).sum(axis=0) - b.reshape(-1, size).sum(axis=0)).sum())
 
+def _sets(docs: DataFrame, buckets: int) -> DataFrame:
+    """doc_id, n and key of the set of every row, and rows with a bucket: half the domain of elements, packed.
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, key and sketch of the set of every row."""
+    ``own`` is the number of elements of a set that are sent. A task sends a set
+    once, however many copies it meets.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, int] = {}
         for batch in batches:
-            sizes, keys, sketches = [], [], []
+            made, packer = [], _Packer(buckets)
             for text in batch.column("text"):
                 found = shingles(text.as_py(), WORDS)
-                sizes.append(len(found))
-                keys.append(set_key(found)[0] if len(found) else 0)
-                sketches.append(sketch(found) if len(found) else None)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "sketch"])
+                key = set_key(found)[0] if len(found) else 0
+                own = sent.get(key) if len(found) else 0
+                if own is None:
+                    # Sorted, so the lower half of the domain comes first.
+                    own = packer.add(key, found[: np.searchsorted(found, U(1 << 63))])
+                    if len(sent) < 1_000_000:
+                        sent[key] = own
+                made.append((len(found), key, own))
+            n, key, own = (pa.array(c, pa.int64()) for c in (zip(*made, strict=True) if made else ([], [], [])))
+            ids, halves = batch.column("doc_id"), packer.rows()
+            names = ["doc_id", "n", "key", "own", *halves.schema.names]
+            none = [pa.nulls(len(ids), x.type) for x in halves.schema]
+            yield pa.RecordBatch.from_arrays([ids, n, key, own, *none], names)
+            if len(halves):
+                none = [pa.nulls(len(halves), x) for x in (ids.type, *[pa.int64()] * 3)]
+                yield pa.RecordBatch.from_arrays([*none, *halves.columns], names)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, own long, {_Packer.schema}")
+
+
+def _shared(halves: DataFrame, buckets: int) -> DataFrame:
+    """key and m of the sets of which other sets have m > 0 elements in the half sent."""
+
+    def met(table: pa.Table) -> pa.Table:
+        key, rest = _unpacked(table)
+        again = rest[1:] == rest[:-1]
+        several = np.concatenate([[False], again]) | np.concatenate([again, [False]]) if len(rest) else np.zeros(0, bool)
+        key, m = np.unique(key[several], return_counts=True)
+        part = key % buckets
+        order = np.argsort(part, kind="stable")
+        key, m, part = key[order], m[order].astype(np.int64), part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+        ends = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.table(
+            {
+                "part": pa.array(part[cuts[:-1]], pa.int64()),
+                "keys": pa.array([key[a:b].tobytes() for a, b in ends], pa.binary()),
+                "ms": pa.array([m[a:b].tobytes() for a, b in ends], pa.binary()),
+            }
+        )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, sketch binary")
+    def summed(table: pa.Table) -> pa.Table:
+        keys, ms = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("keys", "ms"))
+        key, at = np.unique(keys, return_inverse=True)
+        m = np.zeros(len(key), np.int64)
+        np.add.at(m, at, ms)
+        return pa.table({"key": key, "m": m})
 
+    parts = halves.groupBy("bucket").applyInArrow(met, "part long, keys binary, ms binary")
+    return parts.groupBy("part").applyInArrow(summed, "key long, m long")
 
-def _packed(docs: DataFrame, buckets: int) -> DataFrame:
-    """Signatures by bucket, packed: for each set its key, a number and so many 32-bit rests.
 
-    A task sends a set once, however many copies it meets.
-    """
+def _contents(docs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
+    """key, n and elements of the wanted sets, read off one document each."""
+    one = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    chosen = docs.join(one, "doc_id").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
         for batch in batches:
-            keys, made = [], []
-            for text in batch.column("text"):
-                found = shingles(text.as_py(), WORDS)
-                if not len(found) or (key := set_key(found)[0]) in sent:
-                    continue
-                if len(sent) < 5_000_000:
-                    sent.add(key)
-                found = signatures(found)
-                keys.append(np.full(len(found), key, np.int64))
-                made.append(found)
-            if not keys:
-                continue
-            key, sig = np.concatenate(keys), np.concatenate(made)
-            bucket = (sig % U(buckets)).astype(np.int32)
-            rest = (sig // U(buckets) >> U(8)).astype(np.uint32)
-            order = np.lexsort((key, bucket))
-            key, bucket, rest = key[order], bucket[order], rest[order]
-            firsts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])
-            numbers = np.diff(np.r_[firsts, len(key)]).astype(np.uint16)
-            of = bucket[firsts]
-            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
-            upto = np.r_[firsts, len(key)]
-            rows = [
-                (
-                    key[firsts[a:b]].tobytes(),
-                    numbers[a:b].tobytes(),
-                    rest[upto[a] : upto[b]].tobytes(),
-                )
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-            ]
+            made = [(k, shingles(t.as_py(), WORDS)) for k, t in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True)]
+            # Of several rows with one id, only those with the wanted set.
+            made = [(k, s) for k, s in made if len(s) and set_key(s)[0] == k]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(of[cuts[:-1]], pa.int32()), *(pa.array(c, pa.binary()) for c in zip(*rows, strict=True))],
-                ["bucket", "keys", "numbers", "rests"],
+                [
+                    pa.array([k for k, _ in made], pa.int64()),
+                    pa.array([len(s) for _, s in made], pa.int64()),
+                    pa.array([s.tobytes() for _, s in made], pa.binary()),
+                ],
+                ["key", "n", "elements"],
             )
 
-    return docs.mapInArrow(run, "bucket int, keys binary, numbers binary, rests binary")
+    return chosen.mapInArrow(run, "key long, n long, elements binary").dropDuplicates(["key"])
+
+
+def _packed(contents: DataFrame, buckets: int) -> DataFrame:
+    """Signatures of sets, packed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packer = _Packer(buckets)
+            for key, found in zip(batch.column("key").to_pylist(), batch.column("elements"), strict=True):
+                packer.add(key, signatures(np.frombuffer(found.as_buffer(), np.uint64)))
+            yield packer.rows()
+
+    return contents.select("key", "elements").mapInArrow(run, _Packer.schema)
 
 
 def _groups(table: pa.Table) -> pa.Table:
     """Groups of sets sharing a signature, each list of members once: rows (group, key)."""
-    column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    key = np.repeat(column("keys", np.int64), column("numbers", np.uint16).astype(np.int64))
-    sig = column("rests", np.uint32)
-    order = np.lexsort((key, sig))
-    key, sig = key[order], sig[order]
-    fresh = np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])] if len(sig) else np.zeros(0, bool)
-    key, sig = key[fresh], sig[fresh]
+    key, sig = _unpacked(table)
     starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[starts, len(sig)])
     out_group, out_key, seen = [], [], set()
@@ -223,45 +291,94 @@ def _groups(table: pa.Table) -> pa.Table:
     )
 
 
-def _folded(sketches: list[bytes], size: int) -> np.ndarray:
-    """Sketches of one length as rows, folded to ``size`` buckets."""
-    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1, size)
-    return rows.sum(axis=1, dtype=np.int32)
+def _units(groups: DataFrame) -> DataFrame:
+    """(unit, key): groups (group, key, n) that overlap are one unit, apart by their least size.
 
+    All sets of a group are in one unit, at most (4/3)^3 apart in size.
+    """
+    least = groups.groupBy("group").agg(F.min("n").alias("_n"), F.min("key").alias("_first"))
+    level = F.floor(F.log("_n") / F.log(F.lit(4 / 3)))
+    met = groups.join(least, "group").select(level.alias("level"), "_first", "key").distinct()
+    node = lambda c: F.xxhash64("level", c)
+    nodes = cut(met.select(node("_first").alias("a"), node("key").alias("b"), "key"))
+    roots = _components(nodes.select("a", "b").distinct())
+    members = nodes.select("b", "key").distinct()
+    return members.join(roots, members["b"] == roots["key"]).select(F.col("root").alias("unit"), members["key"])
 
-def _apart(table: pa.Table) -> pa.Table:
-    """The pairs of one block of a group that lie in different components and that sketches do not rule out."""
-    key, n, root, side = (table.column(c).to_numpy() for c in ("key", "n", "root", "side"))
-    sketches = np.array(table.column("sketch").to_pylist(), object)
-    widths = np.array([len(x) for x in sketches], np.int64)
-    first, second = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
-    out = []
-    for p in np.unique(widths[first]):
-        for q in np.unique(widths[second]):
-            left, right = first[widths[first] == p], second[widths[second] == q]
-            size = min(p, q)
-            a, b = _folded(list(sketches[left]), size), _folded(list(sketches[right]), size)
-            for at, i in enumerate(left):
-                j = np.flatnonzero((root[right] != root[i]) & (100 * np.minimum(n[right], n[i]) >= PERCENT * np.maximum(n[right], n[i])))
-                differ = np.abs(b[j] - a[at]).sum(axis=1)
-                j = right[j[differ * (100 + PERCENT) <= (n[right[j]] + n[i]) * (100 - PERCENT)]]
-                out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
-    empty = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    a, b = (np.concatenate(c) for c in zip(*(out or empty), strict=True))
-    return pa.table({"a": a, "b": b})
-
-
-def _across(mixed: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) across the components of each group that may be similar.
-
-    ``mixed`` has group, key, n and root. A group is cut into blocks of bounded
-    size and every two blocks meet in a task of their own, so a member is sent
-    once for each block and only pairs that sizes and sketches leave are written.
+
+def _common(row: np.ndarray, column: np.ndarray, first: int, skip: int, rows: int, kind: type) -> np.ndarray:
+    """Numbers of common elements of the rows below ``first`` and those from ``skip`` on.
+
+    ``row`` and ``column`` are the ones of a matrix, sorted by column and row.
+    """
+    found = np.zeros((first, rows - skip), kind)
+    starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+    counts = np.diff(np.r_[starts, len(column)])
+    each = np.repeat(counts, counts)
+    few = (each > 1) & (each < DENSE)
+    r, c = row[few], column[few]
+    for k in range(1, DENSE):
+        same = np.flatnonzero(c[k:] == c[:-k])
+        if not len(same):
+            break
+        left, right = r[same], r[same + k]
+        met = (left < first) & (right >= skip)
+        found += np.bincount(left[met].astype(np.int64) * (rows - skip) + right[met] - skip, minlength=found.size).reshape(found.shape)
+    if skip == 0:
+        found += found.T
+    r, c = row[each >= DENSE], np.unique(column[each >= DENSE], return_inverse=True)[1]
+    for at in range(0, int(c.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(c, [at, at + COLUMNS])
+        ones = np.zeros((rows, COLUMNS), kind)
+        ones[r[a:b], c[a:b] - at] = 1
+        found += ones[:first] @ ones[skip:].T
+    return found
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    """Links (a, b) that connect what is similar in one block of a unit, or across two: a forest of them."""
+    table = table.sort_by("side")
+    key, side = table.column("key").to_numpy(), table.column("side").to_numpy()
+    held = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("elements")]
+    n = np.array([len(x) for x in held], np.int64)
+    rows, first, skip = len(key), int((side <= 1).sum()), int((side < 1).sum())
+    kind = np.float32 if n.max(initial=0) < 1 << 24 else np.float64
+    column = np.unique(np.concatenate(held), return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row = np.repeat(np.arange(rows, dtype=np.int32), n)[order]
+    common = _common(row, column[order], first, skip, rows, kind).astype(np.int64)
+    union = n[:first, None] + n[None, skip:] - common
+    similar = np.zeros((rows, rows), bool)
+    similar[:first, skip:] = 100 * common >= PERCENT * union
+    similar |= similar.T
+    a, b = [], []
+    new = np.ones(rows, bool)
+    for start in range(rows):
+        if not new[start]:
+            continue
+        new[start] = False
+        found = [start]
+        while found:
+            at = found.pop()
+            near = np.flatnonzero(similar[at] & new)
+            new[near] = False
+            found.extend(near.tolist())
+            a.append(np.full(len(near), key[at]))
+            b.append(key[near])
+    empty = [np.zeros(0, np.int64)]
+    return pa.table({"a": np.concatenate(a or empty), "b": np.concatenate(b or empty)})
+
+
+def _links(units: DataFrame, contents: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all similar sets of each unit.
+
+    A unit is cut into blocks of bounded size. Every block, and every two, meet
+    in a task of their own.
     """
-    sized = mixed.groupBy("group").agg(F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    met = mixed.join(sized, "group").join(members.select("key", "sketch"), "key")
-    met = met.withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    members = units.join(contents.select("key", "n"), "key")
+    sized = members.groupBy("unit").agg(F.count("*").alias("_m"), F.sum("n").alias("_e"))
+    blocks = F.greatest(F.ceil(F.col("_m") / BLOCK), F.ceil(F.col("_e") / BLOCK_ELEMENTS)).cast("int")
+    met = units.join(sized, "unit").withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int"))
     # Side 0 and 2 for the first and second of two blocks, 1 where both are one.
     pairs = F.transform(
         F.sequence(F.lit(0), blocks - 1),
@@ -271,67 +388,8 @@ def _across(mixed: DataFrame, members: DataFrame) -> DataFrame:
             F.when(k == F.col("own"), 1).when(F.col("own") < k, 0).otherwise(2).alias("side"),
         ),
     )
-    sent = met.select("group", "key", "n", "root", "sketch", F.inline(pairs))
-    return sent.groupBy("group", "x", "y").applyInArrow(_apart, "a long, b long").distinct()
-
-
-def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches do not rule out."""
-    left = members.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = members.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            differ = [least_difference(x, y) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)]
-            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            keep = np.array(differ, np.int64) * (100 + PERCENT) <= sizes * (100 - PERCENT)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
-
-    return met.mapInArrow(run, "a long, b long")
-
-
-def _contents(docs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
-    """key and elements of the wanted sets, read off one document each."""
-    one = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    chosen = docs.join(one, "doc_id").select("key", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [(k, shingles(t.as_py(), WORDS)) for k, t in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True)]
-            # Of several rows with one id, only those with the wanted set.
-            made = [(k, s.tobytes()) for k, s in made if len(s) and set_key(s)[0] == k]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in made], pa.int64()), pa.array([s for _, s in made], pa.binary())], ["key", "elements"]
-            )
-
-    return chosen.mapInArrow(run, "key long, elements binary").dropDuplicates(["key"])
-
-
-def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, compared element by element.
-
-    Elements are fetched only for sets in pairs that the sketches leave.
-    """
-    pairs = cut(_possible(pairs, members))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    contents = cut(_contents(docs, wanted, keyed))
-    left = contents.select(F.col("key").alias("a"), F.col("elements").alias("x"))
-    right = contents.select(F.col("key").alias("b"), F.col("elements").alias("y"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= PERCENT * (len(both) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return met.mapInArrow(run, "a long, b long")
+    sent = met.join(contents.select("key", "elements"), "key").select("unit", "key", "elements", F.inline(pairs))
+    return sent.groupBy("unit", "x", "y").applyInArrow(_linked, "a long, b long")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -360,30 +418,28 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
-    sets = cut(_sets(texts))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A text has about one element for each six bytes, and half of them are sent.
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(width, size // 12 // BUCKET_SIGNATURES + 1)
+    made = cut(_sets(texts, buckets))
+    sets = made.where("bucket is null").select("doc_id", "n", "key", "own")
+    halves = made.where("bucket is not null").select("bucket", "keys", "numbers", "rests")
+    shared = _shared(halves.repartition(buckets, "bucket"), buckets)
     keyed = sets.where("n > 0").select("doc_id", "key")
-    elements = sets.agg(F.sum("n")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), elements // BUCKET_SIGNATURES + 1)
-    packed = _packed(texts, buckets).repartition(buckets, "bucket")
-    found = cut(packed.groupBy("bucket").applyInArrow(_groups, "group long, key long"))
-    shared = found.select("key").distinct()
-    members = cut(sets.where("n > 0").select("key", "n", "sketch").join(shared, "key", "left_semi").dropDuplicates(["key"]))
-    # Sizes travel with the groups, so pairs too far apart in size are never made.
-    groups = cut(found.join(members.select("key", "n"), "key"))
-    near = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * PERCENT
-    centres = groups.groupBy("group").agg(F.min(F.struct("key", "n")).alias("c"))
-    centres = centres.select("group", F.col("c.key").alias("a"), F.col("c.n").alias("_n"))
-    star = groups.join(centres, "group").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct()
-    links = cut(_verified(star, members, texts, keyed))
-    roots = _components(links)
-    # Groups that still hold several components are compared across these, smaller key first.
-    placed = cut(groups.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
-    mixed = placed.groupBy("group").agg(F.min("root").alias("_first"), F.max("root").alias("_last"))
-    left = cut(placed.join(mixed.where("_first <> _last"), "group").select("group", "key", "n", "root").distinct())
-    across = _across(left, members).join(star, ["a", "b"], "left_anti")
-    more = cut(_verified(across, members, texts, keyed))
-    if not more.isEmpty():
-        roots = _components(links.unionByName(more))
+    # A set lacks at most a quarter of its elements in a similar one.
+    distinct = sets.where("n > 0").select("key", "n", "own").distinct().join(shared, "key", "left")
+    lacking = F.col("own") - F.coalesce("m", F.lit(0))
+    possible = distinct.where(lacking <= F.floor(F.col("n") * (100 - PERCENT) / 100)).select("key", "n")
+    possible = cut(possible)
+    contents = cut(_contents(texts, possible, keyed))
+    elements = possible.agg(F.sum("n")).first()[0] or 0
+    buckets = max(width, elements // BUCKET_SIGNATURES + 1)
+    packed = _packed(contents, buckets).repartition(buckets, "bucket")
+    found = packed.groupBy("bucket").applyInArrow(_groups, "group long, key long")
+    groups = cut(found.join(possible, "key").distinct())
+    units = cut(_units(groups))
+    roots = _components(cut(_links(units, contents)))
     rooted = cut(keyed.join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root")))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(names, "root").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -245,6 +246,61 @@ def test_jaccard_join_against_brute_force(docs, texts):
     assert {r["doc_id"] for r in jaccard_join.thin(docs).collect()} == set(root)
 
 
+def test_jaccard_join_writes_a_forest_of_links(spark, monkeypatch):
+    """Many variants of one text in several components: links grow with the sets, not with their pairs (op8, pipeline)."""
+    dice = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        # Up to 12 changed words change up to 60 shingles: some variants link, some do not.
+        for k in dice.sample(range(200), dice.randint(0, 12)):
+            words[k] = f"c{dice.randint(0, 3)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for j, b in enumerate(sets):
+        for i, a in enumerate(sets[:j]):
+            if 100 * len(a & b) >= 75 * len(a | b):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    links, make = [], jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda *a: links.append(make(*a)) or links[-1])
+    # By several blocks.
+    monkeypatch.setattr(jaccard_join, "BLOCK", 40)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link(docs).collect()} == dict(enumerate(root))
+    assert links[0].count() < 10 * len(texts)
+
+
+@pytest.mark.parametrize("dense", [2, 4, 1000])
+@pytest.mark.parametrize("sides", [[1], [0, 2]])
+def test_jaccard_join_block_keeps_components(monkeypatch, dense, sides):
+    """Common elements are counted exactly by matrices and by pairs; the links are a forest."""
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 7)
+    dice = random.Random(12)
+    sets = [np.array(sorted({*range(40)} ^ {dice.randrange(60) for _ in range(dice.randint(0, 7))}), np.uint64) for _ in range(30)]
+    side = [dice.choice(sides) for _ in sets]
+    block = pa.table({"key": pa.array(range(30), pa.int64()), "side": side, "elements": [s.tobytes() for s in sets]})
+    found = jaccard_join._linked(block).to_pydict()
+
+    def parts(links):
+        root = list(range(30))
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+        return root
+
+    close = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    all_links = [(i, j) for j in range(30) for i in range(j) if (side[i] == 1 or side[i] != side[j]) and close(sets[i], sets[j])]
+    links = list(zip(found["a"], found["b"], strict=True))
+    assert set(map(tuple, map(sorted, links))) <= set(all_links)
+    assert parts(links) == parts(all_links)
+    assert len(links) == 30 - len(set(parts(all_links))) < len(all_links)
+
+
 def test_block_labeller_reads_pages(spark):
     page = "<html><body><nav><a>Home</a></nav><article><p>First  part&amp;{0}</p><p>Second\n part</p></article><footer>End</footer></body></html>"
     rows = [(i, "u", page.replace("{0}", str(i))) for i in range(60)] + [(60, None, None), (61, "u", "")]
