@@ -392,8 +392,36 @@ def _links(units: DataFrame, contents: DataFrame) -> DataFrame:
     return sent.groupBy("unit", "x", "y").applyInArrow(_linked, "a long, b long")
 
 
+def _contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the same components, a the smallest key that a partition of ``links`` connects with b."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = root[up]
+                x = up
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        keys = list(root)
+        yield pa.RecordBatch.from_arrays([pa.array([find(x) for x in keys], pa.int64()), pa.array(keys, pa.int64())], ["a", "b"])
+
+    return links.select("a", "b").mapInArrow(run, "a long, b long")
+
+
 def _components(links: DataFrame) -> DataFrame:
     """(key, root) of every linked key: smallest key reachable. Each round takes the least label around, twice over."""
+    # Partitions settle what they hold first, which leaves few rounds; by the larger key, as the smallest may be in all.
+    links = _contracted(links)
+    for _ in range(2):
+        links = _contracted(links.repartition("b"))
+    links = cut(links.where("a <> b"))
     both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = cut(both.select(F.col("a").alias("key"), F.col("a").alias("root")).distinct())
     while True:
