@@ -415,26 +415,42 @@ def _contracted(links: DataFrame) -> DataFrame:
     return links.select("a", "b").mapInArrow(run, "a long, b long")
 
 
-def _components(links: DataFrame) -> DataFrame:
-    """(key, root) of every linked key: smallest key reachable. Each round takes the least label around, twice over."""
-    # Partitions settle what they hold first, which leaves few rounds; by the larger key, as the smallest may be in all.
-    links = _contracted(links)
-    for _ in range(2):
-        links = _contracted(links.repartition("b"))
-    links = cut(links.where("a <> b"))
-    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = cut(both.select(F.col("a").alias("key"), F.col("a").alias("root")).distinct())
+def _flat(up: DataFrame) -> DataFrame:
+    """(key, root) of trees (key, root), where a root may be a key itself: now the root of the whole tree."""
     while True:
-        near = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("root").alias("least"))
-        moved = labels.join(near, labels["key"] == near["a"], "left").select(
-            "key", F.col("root").alias("old"), F.least("root", F.coalesce("least", "root")).alias("root")
-        )
-        # One jump: a label takes the label of the set it names.
-        moved = cut(moved)
-        named = moved.select(F.col("key").alias("_key"), F.col("root").alias("_root"))
-        labels = cut(moved.join(named, moved["root"] == named["_key"]).select("key", "old", F.least("root", "_root").alias("root")))
-        if labels.where("root <> old").isEmpty():
-            return labels.select("key", "root")
+        above = up.select(F.col("key").alias("_key"), F.col("root").alias("_root"))
+        met = up.join(above, up["root"] == above["_key"], "left")
+        moved = cut(met.select("key", F.coalesce("_root", "root").alias("root"), F.col("_root").isNotNull().alias("moved")))
+        up = moved.select("key", "root")
+        if moved.where("moved").isEmpty():
+            return up
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """(key, root) of every linked key: smallest key reachable.
+
+    In a round each key hangs from the least one it is linked with, if that is
+    smaller, and the trees become the keys of the next round. What hangs leaves
+    the rounds, and only links between trees go on, so all rounds together join
+    about as many rows as the first. Two rounds at least halve the keys.
+    """
+    # Partitions settle what they hold first, by the larger key, as the smallest may be in all.
+    links = cut(_contracted(links.repartition("b")).where("a <> b"))
+    trees: list[DataFrame] = []
+    while not links.isEmpty():
+        up = _flat(cut(links.groupBy(F.col("b").alias("key")).agg(F.min("a").alias("root"))))
+        trees.append(up)
+        for end in ("a", "b"):
+            named = up.select(F.col("key").alias(end), F.col("root").alias("_root"))
+            links = links.join(named, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+        links = cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rooted = trees.pop() if trees else links.select(F.col("b").alias("key"), F.col("a").alias("root"))
+    while trees:
+        up = trees.pop()
+        named = rooted.select(F.col("key").alias("_key"), F.col("root").alias("_root"))
+        below = up.join(named, up["root"] == named["_key"], "left").select("key", F.coalesce("_root", "root").alias("root"))
+        rooted = cut(rooted.unionByName(below))
+    return rooted.unionByName(rooted.select(F.col("root").alias("key"), "root").distinct())
 
 
 def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -274,6 +274,25 @@ def test_jaccard_join_writes_a_forest_of_links(spark, monkeypatch):
     assert links[0].count() < 10 * len(texts)
 
 
+def test_jaccard_join_rounds_of_components_shrink(spark, monkeypatch):
+    """What is settled leaves the rounds: a chain in random order does not come back whole in each (op8, pipeline)."""
+    names = random.Random(21).sample(range(10**9), 24)
+    chain = spark.createDataFrame([(min(p), max(p)) for p in zip(names, names[1:], strict=False)], "a long, b long")
+    written, cut = [], jaccard_join.cut
+
+    def counted(frame):
+        made = cut(frame)
+        written.append(made.count())
+        return made
+
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    # As if each link were in a partition of its own.
+    monkeypatch.setattr(jaccard_join, "_contracted", lambda links: links)
+    got = {r["key"]: r["root"] for r in jaccard_join._components(chain).collect()}
+    assert got == dict.fromkeys(names, min(names))
+    assert sum(written) < 9 * len(names)
+
+
 @pytest.mark.parametrize("dense", [2, 4, 1000])
 @pytest.mark.parametrize("sides", [[1], [0, 2]])
 def test_jaccard_join_block_keeps_components(monkeypatch, dense, sides):
