@@ -286,8 +286,7 @@ def keep(
             if "constant" in model:
                 clean = np.full(batch.num_rows, model["constant"] < THRESHOLD)
             elif batch.num_rows:
-                texts = [t.as_py() or "" for t in batch.column(text_column)]
-                rows = [features(gains(codes(t), model["toxic"], model["ordinary"])) for t in texts]
+                rows = [features(gains(codes(t.as_py() or ""), model["toxic"], model["ordinary"])) for t in batch.column(text_column)]
                 clean = probability(model, np.array(rows)) < THRESHOLD
             else:
                 clean = np.zeros(0, bool)

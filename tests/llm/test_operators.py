@@ -358,3 +358,26 @@ def test_empty_tables(none, labels, name):
         "quality": lambda d: quality_classifier.judge(d, labels),
     }[name]
     assert run(none).collect() == []
+
+
+def test_pipeline_hands_python_small_batches(spark, monkeypatch):
+    """Rows reach Python by bytes, not by whole splits of the table (pipeline)."""
+    import corpus_pipeline
+
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat('x', 2000) AS text")
+
+    def sizes(docs, *_):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+        return docs.mapInArrow(run, "n long")
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+    for (_, stage), (module, name) in zip(
+        corpus_pipeline.STAGES[1:], [("toxicity", "keep"), ("jaccard_join", "thin"), ("suffix_dedup", "trimmed"), ("packing", "pack")], strict=True
+    ):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        monkeypatch.setattr(getattr(corpus_pipeline, module), name, sizes)
+        assert max(r["n"] for r in stage(spark, docs, "").collect()) < 3_000_000
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
