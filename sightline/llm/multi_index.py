@@ -24,8 +24,12 @@ FIT_ROWS = 20_000
 MEASURED = 128
 MOST_CENTROIDS = 128
 RECALL = 0.96
-# Entries and queries of one cell that one task compares at a time.
-BLOCK = 4096
+# Entries and queries that one task holds and compares at a time.
+BLOCK, QUERY_BLOCK = 16_384, 16_384
+# Products, pairs scored exactly, routes and found rows held at once.
+PRODUCTS_AT_ONCE, PAIRS_AT_ONCE, ROUTES_AT_ONCE, FOUND_AT_ONCE = 1 << 20, 1 << 15, 1 << 12, 1 << 18
+# Queries of one task that chooses cells, which is plain Python.
+ROUTED_BY_TASK = 512
 _SHARES = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 
 
@@ -104,7 +108,10 @@ def _best(ids: np.ndarray, queries: np.ndarray, entries: np.ndarray, x: np.ndarr
     # A hair below, so that products that only rounding tells apart all stay.
     q, e = np.nonzero(scores >= (cut_off - 1e-9 * np.abs(cut_off) - 1e-12)[:, None])
     # The order of summation of a matrix product depends on its shape; these do not.
-    exact = np.einsum("ij,ij->i", queries[q], x[e])
+    exact = np.empty(len(q))
+    for at in range(0, len(q), PAIRS_AT_ONCE):
+        some = slice(at, at + PAIRS_AT_ONCE)
+        exact[some] = np.einsum("ij,ij->i", queries[q[some]], x[e[some]])
     return ids[q], entries[e], exact
 
 
@@ -158,48 +165,103 @@ def search(
     if share is None:
         share = _measured_share(index, asked, books, sizes, nearest)
     wanted = max(nearest + 1, int(np.ceil(share * sizes.sum())))
-    blocks = np.maximum(1, -(-sizes // BLOCK))
+    # Cells with the same first centroid are one group, which a query visits as a whole: its vector
+    # moves once for each group and not for each cell.
+    width = len(books[1])
+    blocks = np.maximum(1, -(-sizes.reshape(-1, width).sum(axis=1) // BLOCK))
+    n_asked = asked.count()
+    parts = -(-n_asked // QUERY_BLOCK)
+
+    pieces = spark.createDataFrame(pd.DataFrame({"group": np.arange(len(blocks)), "blocks": blocks}), "group int, blocks int")
+    # At most MOST_CENTROIDS rows. Entries are repeated for each part of the queries, so that a task holds few of both.
+    dealt = index.withColumn("group", F.floor(F.col("cell") / width).cast("int")).join(F.broadcast(pieces), "group").select(
+        "group",
+        F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        "cell",
+        "ids",
+        "v",
+    )
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")
+    # A query takes milliseconds to route, and a small table is one file.
+    visits = asked.repartition(-(-n_asked // ROUTED_BY_TASK)).mapInArrow(
+        _router(books, sizes, wanted, blocks), f"vec_id {kind}, v array<double>, group int, block int, cells array<int>"
+    )
+    visits = visits.select(part, "*")
+
+    keys = ("group", "block", "part")
+    found = visits.groupBy(*keys).cogroup(dealt.groupBy(*keys))
+    found = found.applyInArrow(_reranker(nearest), "query_id long, vec_id long, score double")
+    ordered = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= nearest)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _router(books: list[np.ndarray], counts: np.ndarray, wanted: int, blocks: np.ndarray):
+    """Queries to one row for each group they visit and block of it, in batches of bounded size."""
+    width = len(books[1])
 
     def routed(batches):
+        def routes(batch, who, groups, which, cells):
+            columns = [batch.column(c).take(pa.array(who, pa.int64())) for c in ("vec_id", "v")]
+            columns += [pa.array(groups, pa.int32()), pa.array(which, pa.int32()), pa.array(cells, pa.list_(pa.int32()))]
+            return pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "group", "block", "cells"])
+
         for batch in batches:
-            who, where, which = [], [], []
+            found = ([], [], [], [])
             for k, vector in enumerate(_matrix(batch.column("v"))):
-                for cell in traverse(vector, books, sizes, wanted):
-                    for b in range(blocks[cell]):
-                        who.append(k)
-                        where.append(cell)
-                        which.append(b)
-            columns = [batch.column(c).take(pa.array(who, pa.int64())) for c in ("vec_id", "v")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(where, pa.int32()), pa.array(which, pa.int32())], ["vec_id", "v", "cell", "block"]
-            )
+                cells = np.sort(np.array(traverse(vector, books, counts, wanted), np.int32))
+                for some in np.split(cells, np.flatnonzero(np.diff(cells // width)) + 1):
+                    group = int(some[0]) // width
+                    for b in range(blocks[group]):
+                        for column, value in zip(found, (k, group, b, some), strict=True):
+                            column.append(value)
+                if len(found[0]) >= ROUTES_AT_ONCE:
+                    yield routes(batch, *found)
+                    found = ([], [], [], [])
+            if found[0]:
+                yield routes(batch, *found)
+
+    return routed
 
-    pieces = spark.createDataFrame(pd.DataFrame({"cell": np.arange(cells), "blocks": blocks}), "cell int, blocks int")
-    # At most MOST_CENTROIDS squared rows.
-    dealt = index.join(F.broadcast(pieces), "cell").select(
-        "cell", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"), "ids", "v"
-    )
-    visits = asked.mapInArrow(routed, f"vec_id {kind}, v array<double>, cell int, block int")
+
+def _reranker(nearest: int):
+    """Queries and entries of one group to the ``nearest`` entries of every query, cell by cell."""
 
     def reranked(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        out, held = [_found([], [], [])], 0
         if left.num_rows and right.num_rows:
-            x, lists = _matrix(right.column("v")), right.column("ids").to_pylist()
-            who, vectors = left.column("vec_id").to_numpy(), _matrix(left.column("v"))
-            for at in range(0, len(who), 512):
-                q, e, score = _best(who[at : at + 512], vectors[at : at + 512], np.arange(len(x)), x, nearest + 1)
-                sizes = np.array([len(lists[k]) for k in e])
-                out.append((np.repeat(q, sizes), np.concatenate([lists[k] for k in e]), np.repeat(score, sizes)))
-        q, e, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else ([], [], [])
-        own = np.asarray(q) != np.asarray(e)
-        table = pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(e, pa.int64()), "score": pa.array(score, pa.float64())})
-        return _first(table.filter(pa.array(own, pa.bool_())) if len(own) else table, nearest)
-
-    found = visits.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block"))
-    found = found.applyInArrow(reranked, "query_id long, vec_id long, score double")
-    ordered = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= nearest)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+            who, vectors, x = left.column("vec_id").to_numpy(), _matrix(left.column("v")), _matrix(right.column("v"))
+            lists = right.column("ids").combine_chunks()
+            sizes, ids = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            asking = left.column("cells").combine_chunks()
+            row = np.repeat(np.arange(len(who)), np.diff(asking.offsets.to_numpy()))
+            cell, asked_cell = right.column("cell").to_numpy(), asking.flatten().to_numpy()
+            for one in np.unique(cell):
+                entries, rows = np.flatnonzero(cell == one), row[asked_cell == one]
+                at_once = max(1, PRODUCTS_AT_ONCE // len(entries))
+                for at in range(0, len(rows), at_once):
+                    some = rows[at : at + at_once]
+                    q, e, score = _best(who[some], vectors[some], entries, x[entries], nearest + 1)
+                    n = sizes[e]
+                    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    q, e, score = np.repeat(q, n), ids[np.repeat(starts[e], n) + within], np.repeat(score, n)
+                    other = q != e
+                    out.append(_found(q[other], e[other], score[other]))
+                    held += out[-1].num_rows
+                    if held > FOUND_AT_ONCE:
+                        out = [_first(pa.concat_tables(out), nearest)]
+                        # What is left is at most `nearest` for each query; as much again may come before the next turn.
+                        held = -out[0].num_rows
+        return _first(pa.concat_tables(out), nearest)
+
+    return reranked
+
+
+def _found(query, entry, score) -> pa.Table:
+    columns = [pa.array(query, pa.int64()), pa.array(entry, pa.int64()), pa.array(score, pa.float64())]
+    return pa.table(columns, ["query_id", "vec_id", "score"])
 
 
 def _first(table: pa.Table, top: int) -> pa.Table:

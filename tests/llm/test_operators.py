@@ -114,6 +114,28 @@ def test_multi_index_against_brute_force(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_multi_index_holds_little_at_once(spark, monkeypatch):
+    dice = np.random.default_rng(4)
+    data = dice.normal(size=(400, 8)).round(1)
+    data[100:140] = data[100]
+    books = [multi_index.centroids(data[:, :4], 6), multi_index.centroids(data[:, 4:], 6)]
+    counts = np.bincount(multi_index.quantise(data, books), minlength=36)
+    asked = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(data.tolist())], ["vec_id", "v"])
+    cells = sum(len(multi_index.traverse(v, books, counts, 300)) for v in data)
+    monkeypatch.setattr(multi_index, "ROUTES_AT_ONCE", 50)
+    found = list(multi_index._router(books, counts, 300, np.full(6, 2))([asked]))
+    assert max(b.num_rows for b in found) < 50 + 12
+    # A vector moves once for each group and block, whatever the number of cells.
+    assert sum(b.num_rows for b in found) <= 400 * 12
+    assert sum(len(c) for b in found for c in b.column("cells").to_pylist()) == 2 * cells
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(data.tolist())], "vec_id long, embedding array<double>")
+    want = {(r["query_id"], r["rank"]): r["vec_id"] for r in multi_index.search(vectors, vectors, share=0.7).collect()}
+    for name, size in (("BLOCK", 16), ("QUERY_BLOCK", 64), ("PRODUCTS_AT_ONCE", 64), ("PAIRS_AT_ONCE", 7), ("FOUND_AT_ONCE", 100)):
+        monkeypatch.setattr(multi_index, name, size)
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in multi_index.search(vectors, vectors, share=0.7).collect()}
+    assert got == want and len(got) == 400 * 20
+
+
 def _measured(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
