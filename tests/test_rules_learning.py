@@ -212,3 +212,44 @@ def test_logistic_formula(spark):
     _, metrics = learning.fit_logistic_formula(frame, "y ~ x", folds=3)
     report = dict(values(metrics))
     assert 0 < report["aic"] < 420 and 0 < report["cv_cost"] < 0.25 and 0 < report["r2"] < 1
+
+
+@pytest.mark.parametrize("name", ["ml_tree", "ml_rf"])
+def test_trees_learn_the_same_from_counted_rows(spark, name):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        size, seen, high = rng.randrange(3), float(rng.randrange(20)), rng.random() < 0.1
+        label = "up" if (seen > 11) != high else "down"
+        rows.append((f"h{i}", "EU", "x", seen, label, rng.randrange(9), f"s{size}", "small", "low"))
+    names = "data string, continent string, country string, count_seen double, score_direction string, elapsed long, sector string, size string, estimate string"
+    indexed = learning.index_categories(spark.createDataFrame(rows, names)).localCheckpoint()
+    learner = learning.LEARNERS[name]
+    plain = learning.counted_vectors(indexed, learner, 3, least=3001)
+    counted = learning.counted_vectors(indexed, learner, 3, least=3000)
+    assert "counts" not in plain.columns and counted.count() < 2000
+    assert sum(sum(r["counts"]) for r in counted.select("counts").collect()) == 3000
+    want, got = (
+        {r["name"]: r["value"] for r in learning.train_and_report(v, learner, folds=3).collect()} for v in (plain, counted)
+    )
+    assert got.keys() == want.keys() and got["rows"] == want["rows"] == 3000
+    if name == "ml_tree":
+        assert got == pytest.approx(want)
+        return
+    assert abs(got["held_out"] - want["held_out"]) < 0.1
+    # Draws are of mean one and of variance one row by row, not vector by vector.
+    n = [sum(r["counts"]) for r in counted.select("counts").collect()]
+    for k in range(3):
+        drawn = [sum(r[0]) for r in counted.select(f"draw_{k}").collect()]
+        spread = sum((d - c) ** 2 for d, c in zip(drawn, n)) / 3000
+        assert abs(sum(drawn) - 3000) < 200 and 0.8 < spread < 1.2
+
+
+def test_counted_rows_put_numbers_in_bins(spark):
+    rows = [(f"h{i}", "EU", "x", float(i), "up" if i % 3 else "down", i % 2, "s", "small", "low") for i in range(2000)]
+    names = "data string, continent string, country string, count_seen double, score_direction string, elapsed long, sector string, size string, estimate string"
+    indexed = learning.index_categories(spark.createDataFrame(rows, names))
+    counted = learning.counted_vectors(indexed, learning.LEARNERS["ml_tree"], 2, least=1).collect()
+    bins = sorted({float(r["features"][5]) for r in counted})
+    assert bins == [float(i) for i in range(learning.BINS)] and {r["features"][4] for r in counted} == {0.0, 1.0}
+    assert sum(sum(r["counts"]) for r in counted) == 2000
