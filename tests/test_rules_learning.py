@@ -253,3 +253,28 @@ def test_counted_rows_put_numbers_in_bins(spark):
     bins = sorted({float(r["features"][5]) for r in counted})
     assert bins == [float(i) for i in range(learning.BINS)] and {r["features"][4] for r in counted} == {0.0, 1.0}
     assert sum(sum(r["counts"]) for r in counted) == 2000
+
+
+def test_rules_last_score_mines_at_the_lowest_support(spark, tmp_path):
+    from datetime import datetime
+
+    from sightline.plans import registry
+
+    rng = random.Random(12)
+    day = datetime(1996, 3, 1)
+    lines = [
+        (i, 1, i, rng.randrange(12), 1.0, rng.randrange(10) / 100, day)
+        for i in range(250)
+    ] + [(250 + i, 2, i, 20 + i % 40, 2.0, 0.09, day) for i in range(0, 250, 5)]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_shipdate timestamp"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(i, day, "5-LOW") for i in range(500)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp, o_orderpriority string").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    baskets = [tuple(r["items"].split(",")) for r in registry.QUERIES["baskets"](spark, str(tmp_path)).collect()]
+    want = brute_force(baskets, 0.0001, 0.7, rules.SETTINGS["last_score"].consequents)
+    found = registry.QUERIES["rules_last_score"](spark, str(tmp_path)).collect()
+    got = {(tuple(r["antecedent"].split("|")), r["consequent"]): r["support"] for r in found}
+    assert got == pytest.approx({k: v[0] for k, v in want.items()}, abs=1e-6)
+    assert min(got.values()) < 0.01
