@@ -268,3 +268,20 @@ def test_sighting_graph_reads_sightings_once(spark):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "parquet" in plan and "LocalRelation" not in plan and "LogicalRDD" not in plan
     assert g.vertices.count() == 4 and g.edges.count() == 4
+
+
+def test_two_way_graphs_need_no_direction_added(spark):
+    n, edges = 40, random_edges(36, 45, seed=9) + [(3, 3), (1, 2), (1, 2)]
+    plain = graph(spark, n, edges + [(b, a) for a, b in edges])
+    stated = Graph(plain.vertices, plain.edges, two_way=True)
+    for found in (
+        lambda g: connected_components(g, min_heavy=HEAVY),
+        lambda g: strong_components(g, min_heavy=HEAVY),
+        lambda g: propagate_labels(g, 3, min_heavy=HEAVY),
+        lambda g: triangle_counts(g, min_heavy=HEAVY),
+    ):
+        assert sorted(map(tuple, found(stated).collect())) == sorted(map(tuple, found(plain).collect()))
+    rows = sightings(spark, {"anonymous_id": "a", "data": "1.2.3.4"}, {"anonymous_id": "b", "data": "1.2.3.4"})
+    built = build.create_graph(rows)
+    ends = [(r["src"], r["dst"]) for r in built.edges.collect()]
+    assert built.two_way and sorted(ends) == sorted((b, a) for a, b in ends)
